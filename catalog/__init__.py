@@ -1 +1,14 @@
 """Registered queries: each operator on the driver tables, with its SQL counterpart."""
+
+from __future__ import annotations
+
+import importlib
+
+MODULES = ["scalars", "tables"]
+
+
+def load():
+    """Import every query module and return the registry."""
+    for name in MODULES:
+        importlib.import_module(f"catalog.{name}")
+    return importlib.import_module("catalog.registry")

@@ -9,9 +9,15 @@ that the plan has already cut down.
 from __future__ import annotations
 
 import re
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Ship these helpers with the tasks, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _NOT_WORD = re.compile(r"\W")
 _LATIN1_SUPPLEMENT = {code: None for code in range(128, 256)}
@@ -73,11 +79,11 @@ def match_confidence(a: str | None, b: str | None) -> float:
     return round(set_similarity(a, b) / 100.0, 2)
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def token_sort_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([sort_similarity(x, y) for x, y in zip(a, b)], dtype="int64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def confidence(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([match_confidence(x, y) for x, y in zip(a, b)], dtype="float64")

@@ -71,7 +71,8 @@ def read_staging_csv(spark: SparkSession, path: str) -> DataFrame:
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        writer.options(header=True, escape='"', **spaces).csv(path)
     else:
         writer.format(fmt).save(path)
 
