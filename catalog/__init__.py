@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["scalars", "tables"]
+MODULES = ["scalars", "tables", "linking", "vocabulary"]
 
 
 def load():

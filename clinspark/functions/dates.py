@@ -6,6 +6,8 @@ leaves the wall-clock time as written.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,7 @@ from pyspark.sql import types as T
 from clinspark.functions.text import strip
 
 NTZ = "timestamp_ntz"
-EPOCH = "timestamp_ntz'1960-01-01 00:00:00'"
+EPOCH = "1960-01-01"
 
 # Usable dates lie in the years 1678 to 2261, the whole years a
 # nanosecond timestamp can hold.  The same bounds as day counts since 1960-01-01.
@@ -24,58 +26,86 @@ ISO_DATE = rf"^{YEAR}(-\d{{1,2}}(-\d{{1,2}})?)?T?$"
 ISO_MOMENT = rf"^{YEAR}-\d{{1,2}}-\d{{1,2}}[T ]\d{{1,2}}.*$"
 ISO_HOUR = r"^([\d-]+[T ]\d{1,2})$"
 ZONE = r"(Z|[+-]\d{2}:?\d{2})$"
-DAY_COUNT = r"^[+-]?\d+(\.0+)?$"
-
-# Other spellings, as (shape, formats tried in order); Y stands for a usable year.
-OTHER_SHAPES = [
-    (r"Y\d{4}", ["yyyyMMdd"]),
-    (r"Y\d{4}T\d{4}", ["yyyyMMdd'T'HHmm"]),
-    (r"Y\d{4}T\d{6}", ["yyyyMMdd'T'HHmmss"]),
-    (r"Y/\d{1,2}/\d{1,2}", ["yyyy/M/d"]),
-    (r"\d{1,2}/\d{1,2}/Y", ["M/d/yyyy", "d/M/yyyy"]),
-    (r"\d{1,2}\.\d{1,2}\.Y", ["M.d.yyyy", "d.M.yyyy"]),
-    (r"\d{1,2}[A-Za-z]{3}Y", ["dMMMyyyy"]),
-    (r"\d{1,2}-[A-Za-z]{3}-Y", ["d-MMM-yyyy"]),
-    (r"\d{1,2} [A-Za-z]{3} Y", ["d MMM yyyy"]),
-    (r"\d{1,2} [A-Za-z]{4,9} Y", ["d MMMM yyyy"]),
-    (r"[A-Za-z]{3} \d{1,2}, Y", ["MMM d, yyyy"]),
-    (r"[A-Za-z]{3} \d{1,2} Y", ["MMM d yyyy"]),
-    (r"[A-Za-z]{4,9} \d{1,2}, Y", ["MMMM d, yyyy"]),
-    (r"[A-Za-z]{4,9} \d{1,2} Y", ["MMMM d yyyy"]),
-    (r"[A-Za-z]{3}Y", ["MMMyyyy"]),
-    (r"[A-Za-z]{3} Y", ["MMM yyyy"]),
+OTHER_YEAR = rf"(^|\D){YEAR}(\d{{4}}(T\d{{4,6}})?|/.*)?$"
+DAY_COUNT = r"^[+-]?0*([1-9]\d{4}|100000)(\.0+)?$"
+
+# Other spellings, as formats.  In text of numbers only the month
+# comes first unless the first number is above 12; ``x`` stands for such a number.
+OTHER_FORMATS = [
+    "yyyyMMdd",
+    "yyyyMMdd'T'HHmm",
+    "yyyyMMdd'T'HHmmss",
+    "yyyy/M/d",
+    "M/d/yyyy",
+    "M.d.yyyy",
+    "x/M/yyyy",
+    "x.M.yyyy",
+    "dMMMyyyy",
+    "d-MMM-yyyy",
+    "d MMM yyyy",
+    "d MMMM yyyy",
+    "MMM d, yyyy",
+    "MMM d yyyy",
+    "MMMM d, yyyy",
+    "MMMM d yyyy",
+    "MMMyyyy",
+    "MMM yyyy",
 ]
+DAY_FIRST = r"^(1[3-9]|2\d|3[01])([/.])"
 
 
-def lenient_date(text: Column) -> Column:
-    """Date text in any known spelling; null when it cannot be read.
+def _shapes(fmt: str) -> list[str]:
+    """What text in a format looks like once digits are 9, short months m and long months n."""
+    shape = fmt.replace("'", "").replace("MMMM", "n").replace("MMM", "m")
+    shape = re.sub("yyyy|HH|mm|ss|MM|dd", lambda part: "9" * len(part.group()), shape)
+    shapes = [shape]
+    for letter in "dM":
+        shapes = [s.replace(letter, digits) for s in shapes for digits in (("9", "99") if letter in s else ("",))]
+    return shapes
+
 
-    Each spelling has its own shape, so a row is handed to one parser only.
+def _other_spelling(value: Column) -> Column:
+    """The date in a spelling that is not ISO.
+
+    The text's shape picks its format, so that this takes the same few
+    operations however many spellings there are.  A chain of cases would make
+    the generated code of tables with several dates too large to be compiled.
     """
-    value = strip(text)
+    shape = F.regexp_replace(value, DAY_FIRST, "x$2")
+    shape = F.regexp_replace(F.regexp_replace(shape, "[A-Za-z]{4,}", "n"), "[A-Za-z]{3}", "m")
+    shape = F.translate(shape, "0123456789", "9999999999")
+    pairs = [F.lit(text) for fmt in OTHER_FORMATS for known in _shapes(fmt) for text in (known, fmt.replace("x", "d"))]
+    parsed = F.try_to_timestamp(value, F.try_element_at(F.create_map(*pairs), shape)).cast(NTZ)
+    return F.when(value.rlike(OTHER_YEAR), parsed)
+
+
+def _lenient(value: Column) -> Column:
     moment = F.regexp_replace(F.regexp_replace(value, ZONE, ""), ISO_HOUR, "$1:00")
-    parsed = F.when(value.rlike(ISO_DATE), F.rtrim(value, F.lit("T")).try_cast(NTZ))
-    parsed = parsed.when(value.rlike(ISO_MOMENT), moment.try_cast(NTZ))
-    for shape, formats in OTHER_SHAPES:
-        attempts = [F.try_to_timestamp(value, F.lit(fmt)).cast(NTZ) for fmt in formats]
-        parsed = parsed.when(value.rlike("^" + shape.replace("Y", YEAR) + "$"), F.coalesce(*attempts))
-    return parsed
+    return (
+        F.when(value.rlike(ISO_DATE), F.rtrim(value, F.lit("T")).try_cast(NTZ))
+        .when(value.rlike(ISO_MOMENT), moment.try_cast(NTZ))
+        .otherwise(_other_spelling(value))
+    )
+
+
+def lenient_date(text: Column) -> Column:
+    """Date text in any known spelling; null when it cannot be read."""
+    return _lenient(strip(text))
 
 
 def from_day_count(days: Column) -> Column:
     """Days since 1960-01-01, fraction kept; null for values that are not usable dates."""
     count = days.cast("double")
     seconds = (count * 86400).cast("decimal(18,6)")
-    moment = F.expr(EPOCH) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    moment = F.lit(EPOCH).cast(NTZ) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     return F.when((count >= FIRST_DAY) & (count < LAST_DAY), moment)
 
 
 def clinical_date(text: Column) -> Column:
-    """Clinical date text: a five- or six-digit day count, or a lenient date."""
+    """Clinical date text: a day count from 10000 to 100000, signed or not, or a lenient date."""
     value = strip(text)
-    count = F.when(value.rlike(DAY_COUNT), value.try_cast("double"))
-    is_count = F.abs(count).between(10000, 100000)
-    return F.when(is_count, from_day_count(count)).otherwise(lenient_date(text))
+    counted = F.date_add(F.lit(EPOCH).cast("date"), value.try_cast("double").cast("int")).cast(NTZ)
+    return F.when(value.rlike(DAY_COUNT), counted).otherwise(_lenient(value))
 
 
 def _typed(df: DataFrame, name: str, for_text, for_number) -> Column:

@@ -22,12 +22,13 @@ _POSITION_BITS = 33  # monotonically_increasing_id keeps the row position in the
 def with_dense_ids(df: DataFrame, id_col: str, order_by: list[str], start: int | Column = 1) -> DataFrame:
     """Add ``id_col`` = start, start+1, ... in ``order_by`` order (nulls first).
 
-    Rows that tie on ``order_by`` are told apart by their remaining columns, so
-    the result does not depend on the order in which rows were read.
+    Rows that tie on ``order_by`` are told apart by a hash of their other
+    columns, so the result does not depend on the order in which rows were read.
     """
     rest = [f.name for f in df.schema if f.name not in order_by and not isinstance(f.dataType, T.MapType)]
-    keys = [*order_by, *rest]
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    keys = [*order_by, "_tie"]
+    tied = df.withColumn("_tie", F.xxhash64(*rest) if rest else F.lit(0))
+    ranged = tied.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
     placed = stage(ranged.withColumn("_slot", F.monotonically_increasing_id()), f"ids-{id_col}")
 
     part = F.shiftright("_slot", _POSITION_BITS)

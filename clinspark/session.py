@@ -21,8 +21,6 @@ RUNTIME_CONF = {
     # Hot keys: split oversized join partitions even if that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Keep small tables from being cut into many tiny shuffle partitions.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 
 _local_dirs: dict[str, str] = {}
@@ -42,6 +40,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         SparkSession.builder.master(f"local[{cores}]")
         .appName("clinspark")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
