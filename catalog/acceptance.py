@@ -34,9 +34,7 @@ def _faulty(v, ids: bool = False):
         "drug_exposure": domains.drug_exposure(v.ex, v.cm, ids=ids),
         "measurement": domains.measurement(v.lb, v.vs, v.eg, ids=ids, check=False),
     }
-    for name, date_col in visits.EVENT_DATES.items():
-        tables[name] = visits.link_events(tables[name], visit, date_col)
-    return tables
+    return publication.write_stage(visits.link_visits(tables, visit, check=False), "faulty")
 
 
 @query(

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from catalog.registry import oracle_view, query
 from catalog.views import AS_OF
 from catalog.vocabulary import patient_tables
 from clinspark.operators import domains, mapping
 from clinspark.plans import analytics
-from pyspark.sql import functions as F
+from clinspark.session import stage
 
 
 def mapped(v, name: str):
     """One event table with its terms mapped; only the rows matter, so the ids are any distinct numbers."""
     df = patient_tables(v, ids=False)[name].withColumn(mapping.TARGETS[name].id_col, F.monotonically_increasing_id())
     terms = mapping.map_terms(mapping.orphan_terms(df, mapping.TARGETS[name]), v.concept, v.rel, AS_OF)
-    return mapping.apply_terms(df, mapping.TARGETS[name], terms)
+    return mapping.apply_terms(df, mapping.TARGETS[name], stage(terms, "mapped-terms"))
 
 
 oracle_view(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import oracle_view, query
 from clinspark.operators import domains, visits
+from clinspark.session import stage
 
 # Event rows before linking, without their own ids: table, key, person, day, visit number.
 oracle_view(
@@ -74,9 +75,8 @@ def link_visit_number(v):
 )
 def link_visit_interval(v):
     """Visits that cover each day on which a person has a drug exposure; visits last three days and overlap."""
-    found = visits.day_matches(
-        _events(v)["drug_exposure"], domains.visit_occurrence(v.sv), "drug_exposure_start_date"
-    )
+    cells = visits.visit_cells(domains.visit_occurrence(v.sv))
+    found = visits.day_matches(_events(v)["drug_exposure"], cells, "drug_exposure_start_date")
     return found.select(
         "person_id", F.date_from_unix_date("day").alias("event_date"), "visit_count", "visit_occurrence_id"
     )
@@ -87,12 +87,13 @@ def link_visit_interval(v):
     """select t as table_name, k, person_id, d as event_date, n::bigint as visit_count from {o_by_day} where n > 1""",
 )
 def link_ambiguous(v):
-    visit = domains.visit_occurrence(v.sv)
+    cells = stage(visits.visit_cells(domains.visit_occurrence(v.sv)), "visit-cells")
     parts = []
     for name, df in _events(v).items():
         date_col = visits.EVENT_DATES[name]
-        rows = visits.ambiguous_events(df, visit, date_col)
-        parts.append(rows.select(F.lit(name).alias("table_name"), "k", "person_id", F.col(date_col).alias("event_date"), "visit_count"))
+        rows = visits.ambiguous_events(df, visits.day_matches(df, cells, date_col), date_col)
+        day = F.col(date_col).alias("event_date")
+        parts.append(rows.select(F.lit(name).alias("table_name"), "k", "person_id", day, "visit_count"))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -9,7 +9,9 @@ from catalog.views import AS_OF
 from catalog.vocabulary import all_terms
 from clinspark.operators import candidates, domains, mapping, rules
 
-NOW = F.lit("2024-01-01 12:00:00").cast("timestamp_ntz")
+def now():
+    return F.lit("2024-01-01 12:00:00").cast("timestamp_ntz")
+
 
 # --- keyed appends --------------------------------------------------------------------------
 
@@ -40,7 +42,7 @@ oracle_view(
 def provenance_append(v):
     """New audit rows against those a run wrote before; ids follow on."""
     old = rules.evolve_provenance(v.prov_old).withColumn("run_id", F.lit("RUN-0"))
-    added = rules.append_provenance(v.prov_new, old, NOW)
+    added = rules.append_provenance(v.prov_new, old, now())
     return added.groupBy("run_id", "target_table", "target_id", "mapping_method", "source_value").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -54,7 +56,7 @@ def provenance_append(v):
 )
 def provenance_ids(v):
     old = rules.evolve_provenance(v.prov_old).withColumn("run_id", F.lit("RUN-0"))
-    added = rules.append_provenance(v.prov_new, old, NOW)
+    added = rules.append_provenance(v.prov_new, old, now())
     return added.agg(
         F.min("provenance_id").alias("first_id"),
         F.max("provenance_id").alias("last_id"),
@@ -121,7 +123,7 @@ def decision_status(v):
        from {o_status}""",
 )
 def record_decisions(v):
-    return stamped(rules.record_decisions(proposals(v), v.decision, v.rejected, NOW)).select(
+    return stamped(rules.record_decisions(proposals(v), v.decision, v.rejected, now())).select(
         "mapping_decision_id",
         "run_id",
         "target_table",
@@ -142,7 +144,7 @@ def record_decisions(v):
 )
 def record_again(v):
     """Proposals whose key was recorded before add nothing."""
-    again = rules.record_decisions(proposals(v, "'llm_zero_shot'"), v.decision, v.rejected, NOW)
+    again = rules.record_decisions(proposals(v, "'llm_zero_shot'"), v.decision, v.rejected, now())
     return again.agg(F.count(F.lit(1)).alias("new_decisions"))
 
 
@@ -228,16 +230,18 @@ def proposal_scores(v):
         drugs, "drug_exposure", v.concept, drug_replies(v), v.term_approved, v.term_rejected, "RUN-9", "model-b",
         as_of=AS_OF,
     )
-    recorded = rules.record_decisions(found, v.decision, v.term_rejected, NOW)
+    recorded = rules.record_decisions(found, v.decision, v.term_rejected, now())
     return recorded.groupBy("decision_status").agg(
         F.count(F.lit(1)).alias("terms"), F.round(F.avg("score"), 4).alias("mean_score")
     )
 
 
 REQUESTS = """
-    select 'drug_exposure' as target_table, concat(p_name, ' ', p_brand) as source_value,
+    select 'drug_exposure' as target_table, source_value,
            case when min(p_partkey) % 5 = 0 then 0 else 2000000000 + min(p_partkey) end as concept_id
-    from {part} group by concat(p_name, ' ', p_brand)"""
+    from (select concat(p_name, ' ', p_brand, case when p_size > 45 then ' forte' else '' end) as source_value, p_partkey
+          from {part}) x
+    group by source_value"""
 oracle_view("o_requests", REQUESTS)
 
 
@@ -376,7 +380,7 @@ def review_batch(v):
          on r.mapping_decision_id = d.mapping_decision_id""",
 )
 def reviewed_decisions(v):
-    after = rules.reviewed_decisions(v.decision, reviewed(v), NOW)
+    after = rules.reviewed_decisions(v.decision, reviewed(v), now())
     return stamped(
         after.select("mapping_decision_id", "decision_status", "selected_concept_id", "reviewed_by", "reviewed_at")
     )
@@ -421,14 +425,14 @@ def _upsert_oracle(table: str, seq: str, action: str, concept: str) -> str:
 )
 def rule_upsert(v):
     """Approved rules after a batch of reviews."""
-    after, _ = rules.apply_reviews(reviewed(v), v.approved, v.rejected, NOW)
+    after, _ = rules.apply_reviews(reviewed(v), v.approved, v.rejected, now())
     return stamped(after.drop("approval_reason", "approved_at"))
 
 
 @query("rule_upsert_rejected", _upsert_oracle("rejected", "no_seq", "REJECT", ""))
 def rule_upsert_rejected(v):
     """Rejected rules after the same batch."""
-    _, after = rules.apply_reviews(reviewed(v), v.approved, v.rejected, NOW)
+    _, after = rules.apply_reviews(reviewed(v), v.approved, v.rejected, now())
     return stamped(after.drop("rejection_reason", "rejected_at"))
 
 

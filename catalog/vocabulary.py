@@ -11,7 +11,7 @@ from catalog.registry import oracle_view, query
 from catalog.views import AS_OF
 from clinspark.functions import text
 from clinspark.operators import candidates, domains, mapping, rules
-from clinspark.session import stage_path
+from clinspark.session import stage, stage_path
 from clinspark.sources.vocabulary import read_vocabulary, write_vocabulary
 
 # Unmapped events as (table, domain, key, raw term), and their distinct terms.
@@ -209,7 +209,7 @@ oracle_view("o_approvals", APPROVALS.replace("RULES", "term_approved").replace("
 def apply_approved(v):
     """Deterministic mapping first, approved rules on what it left at 0."""
     tables, _, _ = mapping.map_tables(patient_tables(v), v.concept, v.rel, "RUN-1", AS_OF)
-    approvals = mapping.active_approvals(v.term_approved, v.term_decision, v.concept)
+    approvals = stage(mapping.active_approvals(v.term_approved, v.term_decision, v.concept), "approvals")
     done = {name: mapping.apply_approvals(df, mapping.TARGETS[name], approvals) for name, df in tables.items()}
     return _concepts_of(done)
 
@@ -223,7 +223,7 @@ def apply_approved(v):
        join {o_approvals} a on a.target_table = e.t and a.normalized_value = @key(e.term) and a.problem is null""",
 )
 def approval_provenance(v):
-    approvals = mapping.active_approvals(v.term_approved, v.term_decision, v.concept)
+    approvals = stage(mapping.active_approvals(v.term_approved, v.term_decision, v.concept), "approvals")
     parts = [
         mapping.provenance_of_approvals(df, mapping.TARGETS[name], approvals, "RUN-2")
         for name, df in patient_tables(v).items()

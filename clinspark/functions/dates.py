@@ -74,8 +74,9 @@ def _other_spelling(value: Column) -> Column:
     shape = F.regexp_replace(value, DAY_FIRST, "x$2")
     shape = F.regexp_replace(F.regexp_replace(shape, "[A-Za-z]{4,}", "n"), "[A-Za-z]{3}", "m")
     shape = F.translate(shape, "0123456789", "9999999999")
-    pairs = [F.lit(text) for fmt in OTHER_FORMATS for known in _shapes(fmt) for text in (known, fmt.replace("x", "d"))]
-    parsed = F.try_to_timestamp(value, F.try_element_at(F.create_map(*pairs), shape)).cast(NTZ)
+    pairs = [f"{known}={fmt.replace('x', 'd')}" for fmt in OTHER_FORMATS for known in _shapes(fmt)]
+    formats = F.str_to_map(F.lit(";".join(pairs)), F.lit(";"), F.lit("="))  # a constant, folded by the optimizer
+    parsed = F.try_to_timestamp(value, F.try_element_at(formats, shape)).cast(NTZ)
     return F.when(value.rlike(OTHER_YEAR), parsed)
 
 

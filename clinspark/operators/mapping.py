@@ -149,23 +149,22 @@ def map_terms(
     )
 
 
+def _lookup(mapped: DataFrame, target: Target) -> DataFrame:
+    return mapped.where((F.col("target_table") == target.table) & (F.col("concept_id") != 0)).select(
+        F.col("source_value").alias("_term"), F.col("concept_id").alias("_concept"), "mapping_method"
+    )
+
+
 def apply_terms(df: DataFrame, target: Target, mapped: DataFrame) -> DataFrame:
     """Write mapped concept ids into the unmapped rows of the same raw term.
 
-    The lookup is staged, so Spark plans with its real size: below the session's
-    broadcast threshold the events are not shuffled at all, above it the join is
-    a sort-merge join whose hot terms the adaptive skew rule splits.
+    Pass a staged ``mapped``: Spark then plans with its real size.  Below the
+    session's broadcast threshold the events are not shuffled at all, above it
+    this is a sort-merge join whose hot terms the adaptive skew rule splits.
     """
-    lookup = stage(
-        mapped.where((F.col("target_table") == target.table) & (F.col("concept_id") != 0)).select(
-            F.col("source_value").alias("_term"), F.col("concept_id").alias("_concept")
-        ),
-        f"terms-{target.table}",
-    )
-    current = lenient_id(df, target.concept_col)
-    joined = df.withColumn(target.concept_col, current).join(
-        lookup, (F.col(target.source_col) == F.col("_term")) & (F.col(target.concept_col) == 0), "left"
-    )
+    current = df.withColumn(target.concept_col, lenient_id(df, target.concept_col))
+    same = (F.col(target.source_col) == F.col("_term")) & (F.col(target.concept_col) == 0)
+    joined = current.join(_lookup(mapped, target).drop("mapping_method"), same, "left")
     return joined.withColumn(target.concept_col, F.coalesce("_concept", target.concept_col)).select(*df.columns)
 
 
@@ -177,12 +176,7 @@ def provenance_of_terms(
     vocabulary_version: str = DEFAULT_VERSION,
 ) -> DataFrame:
     """Audit rows of the events that ``apply_terms`` changes."""
-    lookup = stage(
-        mapped.where((F.col("target_table") == target.table) & (F.col("concept_id") != 0)).select(
-            F.col("source_value").alias("_term"), F.col("concept_id").alias("_concept"), "mapping_method"
-        ),
-        f"audit-{target.table}",
-    )
+    lookup = _lookup(mapped, target)
     unmapped = df.where(lenient_id(df, target.concept_col) == 0).select(target.id_col, target.source_col)
     return unmapped.join(lookup, F.col(target.source_col) == F.col("_term")).select(
         F.lit(target.table).alias("target_table"),
@@ -281,17 +275,14 @@ def require_usable(approvals: DataFrame) -> None:
 
 
 def _with_approval(df: DataFrame, target: Target, approvals: DataFrame) -> DataFrame:
-    lookup = stage(
-        approvals.where((F.col("target_table") == target.table) & F.col("problem").isNull()).select(
-            F.col("normalized_value").alias("_key"),
-            F.col("concept_id").alias("_concept"),
-            F.col("source_decision_id").alias("_decision"),
-            F.col("approved_by").alias("_by"),
-            F.col("score").alias("_score"),
-            F.col("model_name").alias("_model"),
-            F.col("vocabulary_version").alias("_version"),
-        ),
-        f"approvals-{target.table}",
+    lookup = approvals.where((F.col("target_table") == target.table) & F.col("problem").isNull()).select(
+        F.col("normalized_value").alias("_key"),
+        F.col("concept_id").alias("_concept"),
+        F.col("source_decision_id").alias("_decision"),
+        F.col("approved_by").alias("_by"),
+        F.col("score").alias("_score"),
+        F.col("model_name").alias("_model"),
+        F.col("vocabulary_version").alias("_version"),
     )
     current = df.withColumn(target.concept_col, lenient_id(df, target.concept_col))
     same = (text.normalized_key(F.col(target.source_col)) == F.col("_key")) & (F.col(target.concept_col) == 0)
@@ -299,7 +290,10 @@ def _with_approval(df: DataFrame, target: Target, approvals: DataFrame) -> DataF
 
 
 def apply_approvals(df: DataFrame, target: Target, approvals: DataFrame) -> DataFrame:
-    """Write approved concept ids into the unmapped rows with the same normalized term."""
+    """Write approved concept ids into the unmapped rows with the same normalized term.
+
+    As in ``apply_terms``, pass staged ``approvals``.
+    """
     joined = _with_approval(df, target, approvals)
     return joined.withColumn(target.concept_col, F.coalesce("_concept", target.concept_col)).select(*df.columns)
 
@@ -334,7 +328,7 @@ def apply_approved_tables(
     run_id: str,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Apply active approvals to all target tables: (tables, provenance)."""
-    approvals = active_approvals(approved, decisions, concept)
+    approvals = stage(active_approvals(approved, decisions, concept), "approvals")
     require_usable(approvals)
     targets = [TARGETS[name] for name in tables if name in TARGETS]
     audit = [provenance_of_approvals(tables[t.table], t, approvals, run_id) for t in targets]

@@ -34,7 +34,7 @@ def read_domain(spark: SparkSession, domain: str, path: str, fmt: str = "parquet
     schema = domain_schema(domain)
     if fmt == "parquet":
         return spark.read.parquet(path)
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = _text_csv(spark, path, multi_line=False)
     return raw.select(
         [
             F.col(f.name).try_cast(f.dataType).alias(f.name)
@@ -55,17 +55,17 @@ def read_domain_if_present(spark: SparkSession, domain: str, path: str, fmt: str
         raise
 
 
-def read_staging_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A processed table as text columns; the empty string is null."""
-    return (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .option("escape", '"')
-        .option("multiLine", True)
-        .csv(path)
-    )
+def _text_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    return spark.read.options(header=True, inferSchema=False, escape='"', multiLine=multi_line).csv(path)
+
+
+def read_staging_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A processed table as text columns; the empty string is null.
+
+    Line breaks inside quotes need ``multi_line``, and then a file is one task.
+    """
+    raw = _text_csv(spark, path, multi_line)
+    return raw.select([F.nullif(F.col(name), F.lit("")).alias(name) for name in raw.columns])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
