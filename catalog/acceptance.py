@@ -20,21 +20,25 @@ oracle_view(
 )
 
 
-def _faulty(v, ids: bool = False):
-    people = domains.person(v.dm).where("gender_source_value is not null")
-    periods = domains.observation_period(v.dm, ids=ids, check=False).withColumn(
+def _faulty(v) -> dict:
+    periods = domains.observation_period(v.dm, ids=False, check=False).withColumn(
         "observation_period_end_date", F.date_sub("observation_period_end_date", 20)
     )
-    visit = domains.visit_occurrence(v.sv, check=False)
-    tables = {
-        "person": people,
+    return {
+        "person": domains.person(v.dm).where("gender_source_value is not null"),
         "observation_period": periods,
-        "visit_occurrence": visit,
-        "condition_occurrence": domains.condition_occurrence(v.ae, v.mh, ids=ids, check=False),
-        "drug_exposure": domains.drug_exposure(v.ex, v.cm, ids=ids),
-        "measurement": domains.measurement(v.lb, v.vs, v.eg, ids=ids, check=False),
+        "visit_occurrence": domains.visit_occurrence(v.sv, check=False),
+        "condition_occurrence": domains.condition_occurrence(v.ae, v.mh, ids=False, check=False),
+        "drug_exposure": domains.drug_exposure(v.ex, v.cm, ids=False),
+        "measurement": domains.measurement(v.lb, v.vs, v.eg, ids=False, check=False),
     }
-    return publication.write_stage(visits.link_visits(tables, visit, check=False), "faulty")
+
+
+def _faulty_and_linked(v) -> dict:
+    """Written once, as publication does before it checks."""
+    tables = _faulty(v)
+    linked = visits.link_visits(tables, tables["visit_occurrence"], check=False)
+    return publication.write_stage(linked, "faulty")
 
 
 @query(
@@ -206,7 +210,7 @@ def _no_person(table: str, rows: str) -> str:
 )
 def acceptance_query(v):
     """All relational checks on the faulty tables; linked visits always exist."""
-    return acceptance.relational_violations(_faulty(v), v.concept, AS_OF)
+    return acceptance.relational_violations(_faulty_and_linked(v), v.concept, AS_OF)
 
 
 @query(

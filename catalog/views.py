@@ -353,7 +353,8 @@ class Views:
     def _stored(self, name: str) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self._folder, name)
         if key not in _stored:
-            _stored[key] = stage(self.sql(VIEWS[name]), f"view-{name}")
+            files = self.spark.sparkContext.defaultParallelism
+            _stored[key] = stage(self.sql(VIEWS[name]).repartition(files), f"view-{name}")
         return _stored[key]
 
     def sql(self, text: str) -> DataFrame:

@@ -114,13 +114,18 @@ def best_names(words: DataFrame, concept: DataFrame, as_of: dt.date | str | None
     )
     order = Window.partitionBy("domain_id", "word").orderBy(F.desc("in_squashed"), "name_length", "concept_id")
     kept = pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PREFILTER)
-    entry = F.struct("name_length", "concept_id", "concept_name", "squashed_name")
+    # Split the names into tokens here, once per word, and not for every term that has the word.
+    kept = kept.withColumn("name_tokens", text.clinical_tokens(F.col("concept_name")))
+    entry = F.struct("name_length", "concept_id", "concept_name", "squashed_name", "name_tokens")
     return kept.groupBy("domain_id", "word").agg(F.collect_list(entry).alias("names"))
 
 
 def prefiltered(terms: DataFrame, concept: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
-    """At most 1000 candidates per (domain_id, source_value), with their place."""
-    split = term_words(terms)
+    """At most 1000 candidates per (domain_id, source_value), with their place.
+
+    The terms are staged, so that the events behind them are scanned once.
+    """
+    split = stage(term_words(terms), "term-words")
     exploded = split.withColumn("word", F.explode("words"))
     words = exploded.select("domain_id", "word").distinct()
     listed = exploded.join(best_names(words, concept, as_of), ["domain_id", "word"])
@@ -134,26 +139,28 @@ def prefiltered(terms: DataFrame, concept: DataFrame, as_of: dt.date | str | Non
         "c.name_length",
         "c.concept_id",
         "c.concept_name",
+        "c.name_tokens",
     )
-    # dense_rank counts concepts, not rows: a concept reached by two words holds one place,
-    # and the grouping that folds its rows reuses the window's partitioning.
+    # dense_rank counts concepts, not rows: a concept reached by two words holds one place.
+    # Its rows are neighbours in that order, so all but the first are dropped in the same partitioning.
     order = Window.partitionBy("domain_id", "source_value").orderBy("without_primary", "name_length", "concept_id")
     ranked = found.withColumn("place", F.dense_rank().over(order)).where(F.col("place") <= PREFILTER)
-    return ranked.groupBy("domain_id", "source_value", "place").agg(
-        *[F.any_value(name).alias(name) for name in ("concept_id", "concept_name", "name_length", "tokens")]
+    previous = F.lag("concept_id").over(order)
+    return (
+        ranked.withColumn("_again", F.coalesce(previous == F.col("concept_id"), F.lit(False)))
+        .where(~F.col("_again"))
+        .drop("_again", "without_primary")
     )
 
 
 def with_overlap(rows: DataFrame) -> DataFrame:
-    """Add both token overlaps of ``concept_name`` with the term's ``tokens``."""
-    found = text.clinical_tokens(F.col("concept_name"))
+    """Add both overlaps of the name's tokens with the term's ``tokens``."""
+    if "name_tokens" not in rows.columns:
+        rows = rows.withColumn("name_tokens", text.clinical_tokens(F.col("concept_name")))
     informative = text.informative_tokens(F.col("tokens"))
-    return (
-        rows.withColumn("_found", found)
-        .withColumn("informative_overlap", text.overlap_ratio(informative, F.col("_found")))
-        .withColumn("total_overlap", text.overlap_ratio(F.col("tokens"), F.col("_found")))
-        .drop("_found")
-    )
+    return rows.withColumn(
+        "informative_overlap", text.overlap_ratio(informative, F.col("name_tokens"))
+    ).withColumn("total_overlap", text.overlap_ratio(F.col("tokens"), F.col("name_tokens")))
 
 
 def shortlist(terms: DataFrame, concept: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:

@@ -135,8 +135,9 @@ def map_terms(
     """Best concept of each term: a direct match, else a 'Maps to' match, else concept 0.
 
     Input (target_table, domain_id, source_value); adds concept_id, concept_name, mapping_method.
+    The distinct terms are staged, so that the events behind them are scanned once.
     """
-    keyed = terms.withColumn("term_key", text.match_key(F.col("source_value")))
+    keyed = stage(terms.withColumn("term_key", text.match_key(F.col("source_value"))), "terms")
     keys = keyed.select("domain_id", "term_key").distinct()
     direct = direct_matches(keys, concept, as_of).withColumn("mapping_method", F.lit(DIRECT))
     left_over = keys.join(direct, ["domain_id", "term_key"], "left_anti")
