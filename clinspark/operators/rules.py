@@ -21,6 +21,7 @@ from clinspark.functions.similarity import confidence
 from clinspark.operators.candidates import gate_picks, shortlist
 from clinspark.operators.ids import next_id, with_dense_ids
 from clinspark.operators.mapping import DEFAULT_VERSION, DOMAIN_OF, TARGETS, expected_domain, is_standard, orphan_terms
+from clinspark.session import stage
 
 SCHEMAS = {
     "decision": (
@@ -142,7 +143,11 @@ def _normalized(proposals: DataFrame) -> DataFrame:
 
 def proposal_conflicts(proposals: DataFrame, decisions: DataFrame) -> DataFrame:
     """Keys for which different concepts are proposed, now or earlier."""
-    mine = _normalized(proposals).select(*DECISION_KEY, "proposed_concept_id")
+    return _conflicts(_normalized(proposals), decisions)
+
+
+def _conflicts(normalized: DataFrame, decisions: DataFrame) -> DataFrame:
+    mine = normalized.select(*DECISION_KEY, "proposed_concept_id")
     keys = mine.select(*DECISION_KEY).distinct()
     earlier = decisions.select(*DECISION_KEY, "proposed_concept_id").join(keys, DECISION_KEY, "left_semi")
     return (
@@ -164,14 +169,19 @@ def record_decisions(
     created_at: Column,
     check: bool = True,
 ) -> DataFrame:
-    """Decisions to append for the proposals; a key recorded before is left alone."""
+    """Decisions to append for the proposals; a key recorded before is left alone.
+
+    The proposals are staged, so that what made them (candidate retrieval, for
+    one) runs once and not again for each check.
+    """
+    normalized = stage(_normalized(proposals), "proposals")
     if check:
-        bad = unsupported_tables(proposals).first()
+        bad = unsupported_tables(normalized).first()
         if bad:
             raise ValueError(f"Unsupported target table: {bad.target_table}")
-        if not proposal_conflicts(proposals, decisions).isEmpty():
+        if not _conflicts(normalized, decisions).isEmpty():
             raise ValueError("A different proposal already exists for a source value of this run.")
-    rows = with_status(_normalized(proposals), rejected).select(
+    rows = with_status(normalized, rejected).select(
         *DECISION_KEY,
         "source_value",
         "proposed_concept_id",
@@ -250,7 +260,7 @@ def propose(
     retrieval.  For the others the external pick in ``replies`` (domain_id,
     source_value, reply) counts only if it is one of the term's candidates.
     """
-    terms = active_rules(orphan_terms(df, TARGETS[target_table]), approved, rejected)
+    terms = stage(active_rules(orphan_terms(df, TARGETS[target_table]), approved, rejected), "open-terms")
     open_terms = terms.where("rule_status is null").select("target_table", "domain_id", "source_value")
     policy = terms.where("rule_status = 'REJECTED'").select(
         "target_table", "source_value", F.lit(0).cast("bigint").alias("proposed_concept_id"), F.lit(0.0).alias("score")
