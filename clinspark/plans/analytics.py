@@ -6,6 +6,8 @@ they meet the vocabulary, so the join is on the aggregate and never on events.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +16,18 @@ def _names(concept: DataFrame) -> DataFrame:
     return concept.select(F.col("concept_id").cast("bigint").alias("concept_id"), "concept_name")
 
 
+def _one_row(*parts: DataFrame) -> DataFrame:
+    """One-row frames side by side, without a join."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.agg(*[F.max(name).alias(name) for name in rows.columns])
+
+
 def population(person: DataFrame, observation_period: DataFrame) -> DataFrame:
     """Number of patients and mean days observed, one row."""
     patients = person.agg(F.count_distinct("person_id").alias("total_patients"))
     days = F.datediff("observation_period_end_date", "observation_period_start_date")
     observed = observation_period.agg(F.round(F.avg(days), 1).alias("avg_days_observed"))
-    return patients.join(F.broadcast(observed), F.lit(True))  # one row each
+    return _one_row(patients, observed)
 
 
 def gender_distribution(person: DataFrame, concept: DataFrame) -> DataFrame:
@@ -73,7 +81,7 @@ def rescue_rate(
     )
     patients = person.agg(F.count_distinct("person_id").alias("total_patients"))
     rate = F.col("rescue_patients") / F.col("total_patients") * 100
-    return takers.join(F.broadcast(patients), F.lit(True)).select(  # one row each
+    return _one_row(takers, patients).select(
         "rescue_patients",
         "total_patients",
         F.when(F.col("total_patients") > 0, F.round(rate, 1)).otherwise(F.lit(0.0)).alias("rescue_rate"),
