@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clinspark.llm import exact_dedup, mixing
+from clinspark.llm import exact_dedup, mixing, quality_rules, simhash
+from clinspark.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +28,21 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+KEEP_SCORE = 0.3
+
+
+@query("op1_quality_rules")
+def quality_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = quality_rules.fit(docs, _table(spark, folder, "labels"))
+    return quality_rules.scored(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"),
+    )
+
+
 @query(
     "op2_exact_dedup",
     r"""
@@ -96,3 +113,8 @@ MIX_SQL = r"""
 )
 def source_mix_query(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
+
+
+@query("op4_simhash")
+def simhash_query(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(_table(spark, folder, "documents"), shingle_words=3, radius=2)

@@ -6,24 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinspark.llm import exact_dedup, mixing
+from clinspark.llm import exact_dedup, mixing, quality_rules, simhash
 from clinspark.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+KEEP_SCORE = 0.3
+
+
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules, fitted on the labels beside them, do not reject."""
+    model = quality_rules.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_rules.accepted(docs, model, KEEP_SCORE)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with the same text, the one with the smallest id stays."""
     return exact_dedup.without_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each SimHash group, the document with the smallest id stays."""
+    return simhash.without_near_copies(docs, shingle_words=3, radius=2)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it."""
     return mixing.mixed(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", drop_poor),
     ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
     ("source mix", mix_sources),
 ]
 
