@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import exact_dedup, mixing, quality_rules, simhash
+from clinspark.llm import exact_dedup, mixing, pieces, quality_rules, simhash, token_files
 from clinspark.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,20 @@ def source_mix_query(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_simhash")
 def simhash_query(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(_table(spark, folder, "documents"), shingle_words=3, radius=2)
+
+
+@query("op5_token_files")
+def token_files_query(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    manifest, by_rank = token_files.write(_table(spark, folder, "documents"), tokenizer, end_id=0)
+    return token_files.read(manifest, by_rank)
+
+
+@query("op7_sentencepiece")
+def pieces_query(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.digests(pieces.encode(_table(spark, folder, "documents"), model))

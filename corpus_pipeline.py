@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinspark.llm import exact_dedup, mixing, quality_rules, simhash
+from clinspark.llm import exact_dedup, mixing, pieces, quality_rules, simhash
 from clinspark.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -36,11 +36,19 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number and digest of each document's pieces, and of the text they decode to."""
+    import public_tokenizers
+
+    return pieces.digests(pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model")))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", drop_poor),
     ("exact dedup", drop_copies),
     ("near dedup", drop_near_copies),
     ("source mix", mix_sources),
+    ("pieces", encode_pieces),
 ]
 
 # Trained models and tokenizers have no SQL form; tests hold the stages against brute force.
