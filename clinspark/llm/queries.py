@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import exact_dedup, mixing, pieces, quality_rules, simhash, token_files
+from clinspark.llm import exact_dedup, language, mixing, neighbours, pieces, quality_rules, simhash, token_files
 from clinspark.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -135,3 +135,20 @@ def pieces_query(spark: SparkSession, folder: str) -> DataFrame:
 
     model = public_tokenizers.path("piece_bpe_32k.model")
     return pieces.digests(pieces.encode(_table(spark, folder, "documents"), model))
+
+
+NEIGHBOUR_FACTOR = 1.2
+
+
+@query("op6_vantage_neighbours")
+def neighbours_query(spark: SparkSession, folder: str) -> DataFrame:
+    embeddings = _table(spark, folder, "embeddings")
+    return neighbours.nearest(embeddings, F.col("vec_id") % 20 == 0, k=20, factor=NEIGHBOUR_FACTOR)
+
+
+@query("op8_language")
+def language_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return language.predict(docs, language.learn(docs)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
