@@ -78,7 +78,7 @@ def _index(docs: DataFrame, hash_bits: int) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     texts = docs.select("doc_id", normalised().alias("norm")).withColumn("h", _hash(F.col("norm"), hash_bits))
     index = stage(texts.select("doc_id", "h", F.sha2("norm", 256).alias("sha")), "dedup-index")
-    slots = stage(directory(index, index.count(), hash_bits).coalesce(1), "dedup-directory")
+    slots = stage(directory(index, index.count(), hash_bits), "dedup-directory")
 
     page = F.pmod(F.xxhash64("doc_id"), F.col("pages").cast("long"))
     owned = (
