@@ -153,7 +153,8 @@ def fit(
         F.col("doc_id").alias("label_id"), F.col("quality").cast("double").alias("label")
     )
     sampled = stage(sampled, "quality-labels")  # about sample_rows rows
-    texts = docs.join(F.broadcast(sampled), docs["doc_id"] == F.col("label_id")).select("label_id", "text", "label")
+    texts = docs.select("doc_id", "text").join(F.broadcast(sampled), F.col("doc_id") == F.col("label_id"))
+    texts = texts.select("label_id", "text", "label")
     table = with_statistics(texts).select(
         F.col("c0").alias("doc_id"), F.col("c2").alias("label"), array_to_vector(F.array(*STATISTICS)).alias("features")
     )

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinspark.llm import exact_dedup, language, mixing, neighbours, pieces, quality_rules, simhash, token_files
+from clinspark.llm import (
+    exact_dedup,
+    language,
+    licenses,
+    mixing,
+    neighbours,
+    pieces,
+    quality_rules,
+    repeats,
+    simhash,
+    token_files,
+)
 from clinspark.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +163,14 @@ def language_query(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(docs, language.learn(docs)).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query("op9_licenses")
+def licenses_query(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return licenses.scan(docs, licenses.fit(docs))
+
+
+@query("op10_repeats")
+def repeats_query(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.stretches(_table(spark, folder, "documents"))

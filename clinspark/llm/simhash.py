@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinspark.llm.common import shuffle_partitions, small_batches
+from clinspark.llm.common import own_name, shuffle_partitions, small_batches
 from clinspark.session import stage
 
 SEED = 42
@@ -282,5 +282,6 @@ def without_near_copies(docs: DataFrame, shingle_words: int = 3, radius: int = 2
     Rows without an id are kept: nothing can name them.
     """
     groups = near_groups(docs.select("doc_id", "text"), shingle_words, radius)
-    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone"), "left_anti")
+    name = own_name(docs, "gone")
+    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
