@@ -25,6 +25,19 @@ TREES = 12
 TREE_DEPTH = 3
 LASSO = 0.002
 
+STATISTICS = (
+    "log_words",
+    "word_length",
+    "line_words",
+    "different_share",
+    "again_share",
+    "capital_share",
+    "digit_share",
+    "mark_share",
+    "odd_share",
+    "stop_share",
+)
+
 
 def _count(pattern: str) -> Column:
     return F.regexp_count(whole(), F.lit(pattern)).cast("double")
@@ -51,23 +64,21 @@ def _counts() -> dict[str, Column]:
     }
 
 
-def _ratios() -> dict[str, Column]:
+def _ratios() -> list[Column]:
+    """The statistics, in their order."""
     c = F.col
-    return {
-        "log_words": F.log1p("words"),
-        "word_length": _share(c("chars"), c("words")),
-        "line_words": c("words") / (c("lines") + 1),
-        "different_share": _share(c("different"), c("words")),
-        "again_share": _share(c("again"), c("words")),
-        "capital_share": _share(c("capitals"), c("letters")),
-        "digit_share": _share(c("digits"), c("chars")),
-        "mark_share": _share(c("marks"), c("words")),
-        "odd_share": _share(c("odd_marks"), c("words")),
-        "stop_share": _share(c("stops"), c("words")),
-    }
-
-
-STATISTICS = tuple(_ratios())
+    return [
+        F.log1p("words"),
+        _share(c("chars"), c("words")),
+        c("words") / (c("lines") + 1),
+        _share(c("different"), c("words")),
+        _share(c("again"), c("words")),
+        _share(c("capitals"), c("letters")),
+        _share(c("digits"), c("chars")),
+        _share(c("marks"), c("words")),
+        _share(c("odd_marks"), c("words")),
+        _share(c("stops"), c("words")),
+    ]
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
@@ -75,7 +86,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     given = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
     kept = [f"c{i}" for i in range(len(docs.columns))]
     counted = docs.select(*given, *[e.alias(n) for n, e in _counts().items()])
-    return counted.select(*kept, *[e.alias(n) for n, e in _ratios().items()])
+    return counted.select(*kept, *[e.alias(n) for n, e in zip(STATISTICS, _ratios(), strict=True)])
 
 
 # A condition: statistic, is it "at most" (else "above"), bound.
