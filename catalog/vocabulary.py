@@ -266,8 +266,7 @@ oracle_view(
                       from (select *, @informative(words) as i from {o_term_words}) y) w
                 join {concept} c on c.domain_id = w.domain_id and @standard(c) and @valid(c)
                 where len(list_filter(w.words, lambda x: contains(lower(c.concept_name), x)
-                                      or contains(@squash(c.concept_name), x))) > 0) z) q
-    where place <= 1000""",
+                                      or contains(@squash(c.concept_name), x))) > 0) z) q""",
 )
 
 

@@ -1,19 +1,15 @@
 """Ranked candidate concepts for a term no rule or exact name resolves.
 
 A concept is a candidate when its lower-case name, or that name without
-anything but letters and digits, contains one of the term's words.  The 1000
-best by (contains the longest informative word, shorter name, lower id) are
-kept, and of those the 15 best by token overlap and similarity.
+anything but letters and digits, contains one of the term's words.  Candidates
+are placed by (contains the longest informative word, shorter name, lower id),
+and the k best of them are taken by token overlap, similarity and place.
 
 Words are matched once each, however many terms share them, and never by a
-cross join: a word is looked up by its rarest letter triple (words of one or
-two letters by themselves) among the letter groups of the names, and only those
-pairs are tested.  Each word keeps its own 1000 best names, which is enough:
-
-* if 1000 names contain the term's longest word, they are the answer;
-* otherwise that word's list is complete, and the k names still missing are
-  among the best 1000 of some other word, because fewer than 1000 - k + 1 of
-  those can also contain the longest word.
+cross join: shared tokens come from an inverted index, and a word inside longer
+words is looked up by its rarest letter triple (words of one or two letters by
+themselves) among the letter groups of the names, and only those pairs are
+tested.  Pairs are ids until the k best are found.
 """
 
 from __future__ import annotations
@@ -29,8 +25,7 @@ from clinspark.functions.similarity import token_sort_similarity
 from clinspark.operators.mapping import standard_concepts
 from clinspark.session import stage
 
-PREFILTER = 1000  # fixed values
-SHORTLIST = 15
+SHORTLIST = 15  # the size of the list a reviewer or model is shown
 
 _GRAM = 3
 
@@ -93,63 +88,76 @@ def _lookup_grams(words: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
-def best_names(words: DataFrame, concept: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
-    """The best names that contain each (domain_id, word): one row per word, names as a list."""
-    names = (
+def _names_of(terms: DataFrame, concept: DataFrame, as_of: dt.date | str | None) -> DataFrame:
+    """Standard names of the terms' domains, in the forms that are compared."""
+    return (
         standard_concepts(concept, as_of)
         .select("domain_id", F.col("concept_id").cast("bigint").alias("concept_id"), "concept_name")
-        .join(words.select("domain_id").distinct(), "domain_id", "left_semi")
+        .join(terms.select("domain_id").distinct(), "domain_id", "left_semi")
         .withColumn("lower_name", F.lower("concept_name"))
         .withColumn("squashed_name", text.squashed(F.col("concept_name")))
     )
+
+
+def containing(words: DataFrame, names: DataFrame) -> DataFrame:
+    """(domain_id, word, concept_id) for every name that contains the word."""
     # Staged so that the plan knows how few words there are: they are broadcast
     # to the names while they fit, and then no name leaves its partition unmatched.
     lookup = stage(_lookup_grams(words, names), "word-grams")
-    pairs = (
-        _name_grams(names)
-        .join(lookup, ["domain_id", "gram"])
-        .withColumn("in_squashed", F.contains("squashed_name", F.col("word")))
-        .where(F.col("in_squashed") | F.contains("lower_name", F.col("word")))
+    inside = F.contains("squashed_name", F.col("word")) | F.contains("lower_name", F.col("word"))
+    return _name_grams(names).join(lookup, ["domain_id", "gram"]).where(inside).select("domain_id", "word", "concept_id")
+
+
+def _numbered(terms: DataFrame) -> DataFrame:
+    """The terms with their words under a short id, written once: later steps carry the id alone."""
+    return stage(term_words(terms).withColumn("term_id", F.monotonically_increasing_id()), "term-words")
+
+
+def _words_of(split: DataFrame) -> DataFrame:
+    return split.select("term_id", "domain_id", F.explode("words").alias("word"))
+
+
+def _named(pairs: DataFrame, split: DataFrame, names: DataFrame) -> DataFrame:
+    """(term_id, concept_id) pairs with the texts of both and what ``place`` is ordered by."""
+    without = F.when(F.contains("squashed_name", F.col("primary_word")), 0).otherwise(1)
+    return (
+        pairs.join(names.drop("lower_name"), "concept_id")
+        .join(split.drop("domain_id", "words"), "term_id")
+        .withColumn("without_primary", without)
         .withColumn("name_length", F.length("concept_name"))
     )
-    order = Window.partitionBy("domain_id", "word").orderBy(F.desc("in_squashed"), "name_length", "concept_id")
-    kept = pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PREFILTER)
-    # Split the names into tokens here, once per word, and not for every term that has the word.
-    kept = kept.withColumn("name_tokens", text.clinical_tokens(F.col("concept_name")))
-    entry = F.struct("name_length", "concept_id", "concept_name", "squashed_name", "name_tokens")
-    return kept.groupBy("domain_id", "word").agg(F.collect_list(entry).alias("names"))
+
+
+PLACE = ["without_primary", "name_length", "concept_id"]
 
 
 def prefiltered(terms: DataFrame, concept: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
-    """At most 1000 candidates per (domain_id, source_value), with their place.
+    """All candidates per (domain_id, source_value), with their place."""
+    split = _numbered(terms)
+    names = _names_of(split, concept, as_of)
+    exploded = _words_of(split)
+    hits = containing(exploded.select("domain_id", "word").distinct(), names)
+    pairs = exploded.join(hits, ["domain_id", "word"]).select("term_id", "concept_id").distinct()
+    place = F.row_number().over(Window.partitionBy("term_id").orderBy(*PLACE))
+    return _named(pairs, split, names).select(
+        "domain_id", "source_value", "tokens", place.alias("place"), "name_length", "concept_id", "concept_name"
+    )
 
-    The terms are staged, so that the events behind them are scanned once.
-    """
-    split = stage(term_words(terms), "term-words")
-    exploded = split.withColumn("word", F.explode("words"))
-    words = exploded.select("domain_id", "word").distinct()
-    listed = exploded.join(best_names(words, concept, as_of), ["domain_id", "word"])
-    found = listed.select(
-        "domain_id", "source_value", "tokens", "primary_word", F.explode("names").alias("c")
-    ).select(
-        "domain_id",
-        "source_value",
-        "tokens",
-        F.when(F.contains("c.squashed_name", F.col("primary_word")), 0).otherwise(1).alias("without_primary"),
-        "c.name_length",
-        "c.concept_id",
-        "c.concept_name",
-        "c.name_tokens",
+
+def _by_token(split: DataFrame, names: DataFrame) -> DataFrame:
+    """(term_id, concept_id) of all names that have a token of the term, with the number of shared
+    tokens (``total``) and of shared informative ones (``informative``)."""
+    useful = text.informative_tokens(F.array_distinct("tokens"))
+    wanted = split.select(
+        "term_id", "domain_id", useful.alias("useful"), F.explode(F.array_distinct("tokens")).alias("token")
+    ).withColumn("useful", F.array_contains("useful", F.col("token")))
+    index = names.select(
+        "domain_id", "concept_id", F.explode(F.array_distinct(text.clinical_tokens(F.col("concept_name")))).alias("token")
     )
-    # dense_rank counts concepts, not rows: a concept reached by two words holds one place.
-    # Its rows are neighbours in that order, so all but the first are dropped in the same partitioning.
-    order = Window.partitionBy("domain_id", "source_value").orderBy("without_primary", "name_length", "concept_id")
-    ranked = found.withColumn("place", F.dense_rank().over(order)).where(F.col("place") <= PREFILTER)
-    previous = F.lag("concept_id").over(order)
     return (
-        ranked.withColumn("_again", F.coalesce(previous == F.col("concept_id"), F.lit(False)))
-        .where(~F.col("_again"))
-        .drop("_again", "without_primary")
+        wanted.join(index, ["domain_id", "token"])
+        .groupBy("term_id", "concept_id")
+        .agg(F.count(F.lit(1)).alias("total"), F.sum(F.col("useful").cast("int")).alias("informative"))
     )
 
 
@@ -163,33 +171,48 @@ def with_overlap(rows: DataFrame) -> DataFrame:
     ).withColumn("total_overlap", text.overlap_ratio(F.col("tokens"), F.col("name_tokens")))
 
 
-def shortlist(terms: DataFrame, concept: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
-    """The 15 best candidates per (domain_id, source_value), best first (``position`` 1..15).
+def shortlist(
+    terms: DataFrame, concept: DataFrame, as_of: dt.date | str | None = None, k: int = SHORTLIST
+) -> DataFrame:
+    """The ``k`` best candidates per (domain_id, source_value), best first (``position`` from 1).
 
-    Similarity only breaks ties of the overlaps, so rows that the overlaps alone
-    place behind the fifteenth are dropped before it is computed.
+    Overlaps are counted through an inverted index of tokens.  A name that merely contains a
+    word has no overlap and comes after every name that shares a token, so letter groups are
+    searched only for terms with fewer than ``k`` names of the latter kind.  Similarity only
+    breaks ties: rows that the overlaps alone place behind the k-th are dropped before.
     """
-    scored = with_overlap(prefiltered(terms, concept, as_of))
-    group = Window.partitionBy("domain_id", "source_value")
-    by_overlap = group.orderBy(F.desc("informative_overlap"), F.desc("total_overlap"))
-    contenders = scored.withColumn("_rank", F.rank().over(by_overlap)).where(F.col("_rank") <= SHORTLIST)
-    similar = contenders.withColumn(
-        "similarity", token_sort_similarity(F.lower("source_value"), F.lower("concept_name"))
+    split = _numbered(terms)
+    names = _names_of(split, concept, as_of)
+    shared = stage(_by_token(split, names), "token-hits")
+    served = shared.groupBy("term_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
+    short = stage(split.join(served, "term_id", "left_anti"), "short-terms")
+    loose = _words_of(short).join(
+        containing(_words_of(short).select("domain_id", "word").distinct(), names), ["domain_id", "word"]
     )
-    final = group.orderBy(
-        F.desc("informative_overlap"), F.desc("total_overlap"), F.desc("similarity"), "name_length", "place"
+    loose = loose.select("term_id", "concept_id").distinct().join(shared, ["term_id", "concept_id"], "left_anti")
+    none = F.lit(0).cast("bigint")
+    pairs = shared.unionByName(loose.select("term_id", "concept_id", none.alias("total"), none.alias("informative")))
+
+    group = Window.partitionBy("term_id")
+    # Within a term both overlaps have fixed denominators, so counts rank like ratios.
+    by_overlap = group.orderBy(F.desc("informative"), F.desc("total"))
+    contenders = pairs.withColumn("_rank", F.rank().over(by_overlap)).where(F.col("_rank") <= k)
+    similar = _named(contenders, split, names).withColumn(
+        "similarity", token_sort_similarity(F.lower("source_value"), F.lower("concept_name"))
     )
+    final = group.orderBy(F.desc("informative"), F.desc("total"), F.desc("similarity"), "name_length", *PLACE)
+    share = lambda n, of: F.col(n) / F.greatest(F.size(F.array_distinct(of)), F.lit(1))
     return (
         similar.withColumn("position", F.row_number().over(final))
-        .where(F.col("position") <= SHORTLIST)
+        .where(F.col("position") <= k)
         .select(
             "domain_id",
             "source_value",
             "position",
             "concept_id",
             "concept_name",
-            "informative_overlap",
-            "total_overlap",
+            share("informative", text.informative_tokens(F.col("tokens"))).alias("informative_overlap"),
+            share("total", F.col("tokens")).alias("total_overlap"),
             "similarity",
         )
     )

@@ -265,9 +265,9 @@ def propose(
     policy = terms.where("rule_status = 'REJECTED'").select(
         "target_table", "source_value", F.lit(0).cast("bigint").alias("proposed_concept_id"), F.lit(0.0).alias("score")
     )
-    picks = gate_picks(
-        shortlist(open_terms, concept, as_of), replies.join(open_terms, ["domain_id", "source_value"], "left_semi")
-    )
+    # Staged: the gate reads it twice, and retrieval should run once.
+    offered = stage(shortlist(open_terms, concept, as_of), "shortlist")
+    picks = gate_picks(offered, replies.join(open_terms, ["domain_id", "source_value"], "left_semi"))
     scored = (
         open_terms.join(picks, ["domain_id", "source_value"], "left")
         .withColumn("proposed_concept_id", F.coalesce("concept_id", F.lit(0).cast("bigint")))
