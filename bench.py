@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -47,7 +48,7 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 4))
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cores, int(cores), "16g")
+    spark = local_session(cores, int(cores), "16g", tempfile.mkdtemp(prefix="bench-"))
     registry = catalog.load().QUERIES
 
     smallest = os.path.join(os.path.dirname(folder.rstrip("/")), "sf0.001")

@@ -20,14 +20,14 @@ ORACLE_VIEWS: dict[str, str] = {}
 MACROS = {
     "pid": r"""case when trim(X) <> '' and lower(trim(X)) <> 'nan'
                     then cast('0x' || substr(sha256(trim(X)), 1, 15) as bigint) end""",
-    "lenient": r"""case when regexp_full_match(trim(X), '(1[7-9]|2[01])\d{2}') then try_cast(trim(X) || '-01-01' as timestamp)
+    "lenient": r"""case when regexp_full_match(trim(X), '\d{4}') then try_cast(trim(X) || '-01-01' as timestamp)
                         when regexp_full_match(trim(X), '\d{4}-\d{1,2}') then try_cast(trim(X) || '-01' as timestamp)
                         when regexp_full_match(trim(X), '\d{4}-\d{1,2}-\d{1,2}([T ]\d{2}:\d{2}(:\d{2})?)?')
                             then try_cast(trim(X) as timestamp)
                         when regexp_full_match(trim(X), '\d{1,2}[A-Za-z]{3}\d{4}')
                             then try_strptime(trim(X), '%d%b%Y')
                         when regexp_full_match(trim(X), '\d{2}/\d{2}/\d{4}') then try_strptime(trim(X), '%m/%d/%Y')
-                        when regexp_full_match(trim(X), '(1[7-9]|2[01])\d{6}') then try_strptime(trim(X), '%Y%m%d')
+                        when regexp_full_match(trim(X), '\d{8}') then try_strptime(trim(X), '%Y%m%d')
                    end""",
     "clinical": r"""case when regexp_full_match(trim(X), '[+-]?\d+(\.0+)?')
                               and abs(try_cast(trim(X) as double)) between 10000 and 100000

@@ -146,21 +146,22 @@ def unit_map(v):
                   when target_table = 'measurement' and dom in ('LB', 'VS', 'EG') then 32809 end::bigint
                   as type_concept_id
        from (select o_orderkey, target_table,
-                    upper(substr('aemhexcmlbvsegsv', cast(2 * (o_orderkey % 8) + 1 as int), 2)) as dom
+                    ['AE', 'MH', 'EX', 'CM', 'LB', 'VS', 'EG', 'SV'][cast(o_orderkey % 8 + 1 as int)] as dom
              from {decision_base}) x""",
 )
 def type_concept(v):
     rows = v.decision_base.select(
         "o_orderkey",
         F.upper("target_table").alias("target_table"),
-        F.expr("substr('aemhexcmlbvsegsv', cast(2 * (o_orderkey % 8) + 1 as int), 2)").alias("dom"),
+        F.expr("element_at(array('AE', 'MH', 'EX', 'CM', 'LB', 'VS', 'EG', 'SV'), cast(o_orderkey % 8 + 1 as int))").alias("dom"),
     )
     return codes.with_type_concept(rows, "target_table", "dom").select("o_orderkey", "type_concept_id")
 
 
 @query(
     "normalize_key",
-    """select p_partkey, @key(term) as rule_key, lower(trim(term)) as name_key, @squash(term) as squashed
+    """select p_partkey, @key(term) as rule_key, lower(trim(term)) as name_key, @squash(term) as squashed,
+              @key(term || ' x') || ' fibrosis strasse' as folded_key
        from {term_text}""",
 )
 def normalize_key(v):
@@ -170,6 +171,7 @@ def normalize_key(v):
         text.normalized_key(term).alias("rule_key"),
         text.match_key(term).alias("name_key"),
         text.squashed(term).alias("squashed"),
+        text.normalized_key(F.concat(term, F.lit(" x\x1f ﬁbrosis STRAẞE"))).alias("folded_key"),
     )
 
 

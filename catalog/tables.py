@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import oracle_view, query, stamped
@@ -146,12 +149,55 @@ def one_domain(df):
 
 @query(
     "scan_domain",
-    """select USUBJID, AETERM, AEDECOD, AESTDTC, AEENDTC, AEOUT, cast(AESEQ as double) as AESEQ from {ae}""",
+    """select USUBJID, AETERM || chr(10) || '"' || AETERM as AETERM, AEDECOD, AESTDTC, AEENDTC, AEOUT,
+              cast(AESEQ as double) as AESEQ from {ae}""",
 )
 def scan_domain(v):
+    """Adverse events as CSV, with line breaks and quotes inside the terms."""
     path = stage_path(v.spark, "ae-csv")
-    write_table(v.ae, path, "csv")
-    return read_domain(v.spark, "AE", path, "csv")
+    term = F.col("AETERM")
+    write_table(v.ae.withColumn("AETERM", F.concat(term, F.lit('\n"'), term)), path, "csv")
+    return read_domain(v.spark, "AE", path, "csv", multi_line=True)
+
+
+_DOMAIN_NUMBER = {
+    "DM": "null",
+    "SV": "VISITNUM",
+    "AE": "AESEQ",
+    "MH": "MHSEQ",
+    "EX": "EXDOSE",
+    "CM": "CMDOSE",
+    "LB": "LBSEQ",
+    "VS": "VSSEQ",
+    "EG": "EGSEQ",
+}
+
+
+@query(
+    "scan_domains",
+    " union all ".join(
+        f"""select '{name}' as domain, count(*) as n_rows, count(distinct USUBJID) as subjects,
+                   round(coalesce(sum(cast({number} as double)), 0), 2) as total from {{{name.lower()}}}"""
+        for name, number in _DOMAIN_NUMBER.items()
+    ),
+)
+def scan_domains(v):
+    """All nine domains written and read again, as Parquet with numbers as text, or as CSV."""
+    parts = []
+    for i, (name, number) in enumerate(_DOMAIN_NUMBER.items()):
+        path, fmt = stage_path(v.spark, f"domain-{name}"), ("parquet", "csv")[i % 2]
+        rows = getattr(v, name.lower())
+        write_table(rows.select([F.col(c).cast("string") for c in rows.columns]), path, fmt)
+        total = F.coalesce(F.sum(F.expr(number).cast("double")), F.lit(0.0))
+        parts.append(
+            read_domain(v.spark, name, path, fmt).agg(
+                F.lit(name).alias("domain"),
+                F.count("*").alias("n_rows"),
+                F.countDistinct("USUBJID").alias("subjects"),
+                F.round(total, 2).alias("total"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("etl_person", "select * from {o_person}")

@@ -11,7 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinspark.session import configure, stage
+from clinspark.session import configure, on_drop, stage
 
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -329,6 +329,13 @@ VIEWS: dict[str, str] = {
 STORED = {"dm", "sv", "ae", "mh", "lb", "ex", "cm", "concept", "part_concept", "rel", "decision", "dosing"}
 _stored: dict[tuple[str, str, str], DataFrame] = {}
 
+
+@on_drop
+def _forget(spark: SparkSession) -> None:
+    for key in [k for k in _stored if k[0] == spark.sparkContext.applicationId]:
+        del _stored[key]
+
+
 _REFERENCE = re.compile(r"\{([a-z_]+)\}")
 
 

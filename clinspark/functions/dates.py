@@ -6,6 +6,7 @@ leaves the wall-clock time as written.
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -16,11 +17,11 @@ from clinspark.functions.text import strip
 
 NTZ = "timestamp_ntz"
 EPOCH = "1960-01-01"
+# Days from EPOCH to the first day of year 1 and to the end of year 9999, what a date can be written as.
+FIRST_DAY = (dt.date(1, 1, 1) - dt.date(1960, 1, 1)).days
+LAST_DAY = (dt.date(9999, 12, 31) - dt.date(1960, 1, 1)).days + 1
 
-# Usable dates lie in the years 1678 to 2261, the whole years a
-# nanosecond timestamp can hold.  The same bounds as day counts since 1960-01-01.
-YEAR = r"(167[89]|16[89]\d|1[7-9]\d\d|2[01]\d\d|22[0-5]\d|226[01])"
-FIRST_DAY, LAST_DAY = -102997, 110304
+YEAR = r"\d{4}"
 
 ISO_DATE = rf"^{YEAR}(-\d{{1,2}}(-\d{{1,2}})?)?T?$"
 ISO_MOMENT = rf"^{YEAR}-\d{{1,2}}-\d{{1,2}}[T ]\d{{1,2}}.*$"
@@ -95,9 +96,9 @@ def lenient_date(text: Column) -> Column:
 
 
 def from_day_count(days: Column) -> Column:
-    """Days since 1960-01-01, fraction kept; null for values that are not usable dates."""
+    """Days since 1960-01-01, fraction kept; null for counts beyond the years 1 to 9999."""
     count = days.cast("double")
-    seconds = (count * 86400).cast("decimal(18,6)")
+    seconds = (count * 86400).try_cast("decimal(18,6)")
     moment = F.lit(EPOCH).cast(NTZ) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
     return F.when((count >= FIRST_DAY) & (count < LAST_DAY), moment)
 

@@ -38,10 +38,23 @@ def coded_or_verbatim(coded: Column, verbatim: Column) -> Column:
     return F.coalesce(blank_to_null(coded), verbatim)
 
 
+# Letters whose full case folding is not their lower case (ß, ligatures, final sigma and so on), by the
+# Unicode tables of this Python.
+FOLDED = {c: c.casefold() for c in map(chr, [*range(0xD800), *range(0xE000, 0x20000)]) if c.lower().casefold() != c.lower()}
+_FOLDED_LOWER = {c.lower(): folded for c, folded in FOLDED.items() if len(c.lower()) == 1}
+
+
+def folded_case(value: Column) -> Column:
+    """Full case folding.  Only text that holds one of the special letters is taken apart."""
+    lower = F.lower(value)
+    special = F.create_map(*[F.lit(x) for pair in _FOLDED_LOWER.items() for x in pair])
+    letters = F.transform(F.split(lower, ""), lambda c: F.coalesce(F.try_element_at(special, c), c))
+    return F.when(lower.rlike(f"[{''.join(_FOLDED_LOWER)}]"), F.array_join(letters, "")).otherwise(lower)
+
+
 def normalized_key(value: Column) -> Column:
     """Key of the rule tables: blank runs become one space, case is folded."""
-    folded = F.replace(F.lower(strip(value)), F.lit("ß"), F.lit("ss"))
-    return F.regexp_replace(folded, r"(?U)\s+", " ")
+    return F.regexp_replace(folded_case(strip(value)), f"[{BLANKS}]+", " ")
 
 
 def match_key(term: Column) -> Column:

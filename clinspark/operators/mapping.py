@@ -244,9 +244,9 @@ def active_approvals(approved: DataFrame, decisions: DataFrame, concept: DataFra
         .join(facts, "concept_id", "left")
         .withColumn(
             "problem",
-            F.when(F.col("concept_name").isNull(), "no longer exists")
-            .when(~F.coalesce(is_standard(), F.lit(False)), "is no longer a valid standard concept")
-            .when(~F.coalesce(F.col("domain_id") == expected_domain(), F.lit(False)), "belongs to another domain"),
+            F.when(F.col("concept_name").isNull(), "is not in the vocabulary")
+            .when(~F.coalesce(is_standard(), F.lit(False)), "is not standard any more")
+            .when(~F.coalesce(F.col("domain_id") == expected_domain(), F.lit(False)), "has another domain"),
         )
         .select(
             "target_table",
@@ -272,7 +272,7 @@ def expected_domain(table_col: str = "target_table") -> Column:
 def require_usable(approvals: DataFrame) -> None:
     bad = approvals.where("problem is not null").orderBy("target_table", "normalized_value").first()
     if bad:
-        raise ValueError(f"Approved concept {bad.concept_id} {bad.problem} ({bad.target_table}).")
+        raise ValueError(f"A rule for {bad.target_table} cannot be used: concept {bad.concept_id} {bad.problem}.")
 
 
 def _with_approval(df: DataFrame, target: Target, approvals: DataFrame) -> DataFrame:

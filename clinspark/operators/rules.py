@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinspark.functions import text
+from clinspark.functions.numbers import lenient_id
 from clinspark.functions.similarity import confidence
 from clinspark.operators.candidates import gate_picks, shortlist
 from clinspark.operators.ids import next_id, with_dense_ids
@@ -178,9 +179,9 @@ def record_decisions(
     if check:
         bad = unsupported_tables(normalized).first()
         if bad:
-            raise ValueError(f"Unsupported target table: {bad.target_table}")
+            raise ValueError(f"Proposals cannot be made for {bad.target_table}")
         if not _conflicts(normalized, decisions).isEmpty():
-            raise ValueError("A different proposal already exists for a source value of this run.")
+            raise ValueError("Two concepts are proposed for one term of a run; proposal_conflicts lists them.")
     rows = with_status(normalized, rejected).select(
         *DECISION_KEY,
         "source_value",
@@ -215,7 +216,8 @@ def decision_events(affected: DataFrame, decisions: DataFrame, existing: DataFra
 def affected_events(df: DataFrame, target_table: str, terms: DataFrame | None = None) -> DataFrame:
     """Unmapped events of a table by raw term: (target_table, source_value, target_id)."""
     target = TARGETS[target_table]
-    rows = df.where((F.col(target.concept_col) == 0) & F.col(target.source_col).isNotNull()).select(
+    unmapped = lenient_id(df, target.concept_col) == 0  # null counts as 0, as in orphan_terms
+    rows = df.where(unmapped & F.col(target.source_col).isNotNull()).select(
         F.lit(target_table).alias("target_table"),
         F.col(target.source_col).alias("source_value"),
         F.col(target.id_col).cast("bigint").alias("target_id"),

@@ -9,7 +9,6 @@ so a lost executor costs a re-read and never a wrong answer.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +22,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_local_dirs: dict[str, str] = {}
-
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings this library relies on to a running session."""
@@ -57,16 +54,10 @@ def local_session(
 
 
 def stage_root(spark: SparkSession) -> str:
-    """Folder for this application's stages, below the configured checkpoint folder."""
-    app = spark.sparkContext.applicationId
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return f"{configured.rstrip('/')}/clinspark-{app}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach.")
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="clinspark-")
-    return _local_dirs[app]
+    """Folder for this application's stages: below ``spark.checkpoint.dir`` or, where that is unset,
+    below the warehouse.  Executors reach either, whatever the master is."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/stages"
+    return f"{configured.rstrip('/')}/clinspark-{spark.sparkContext.applicationId}"
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
@@ -81,9 +72,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_on_drop: list = []
+
+
+def on_drop(forget) -> None:
+    """Call ``forget(spark)`` whenever stages are dropped: for caches that hold frames over them."""
+    _on_drop.append(forget)
+
+
 def drop_stages(spark: SparkSession) -> bool:
     """Delete the stages of this application once its results are published."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    for forget in _on_drop:
+        forget(spark)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.delete(path, True)

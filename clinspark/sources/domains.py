@@ -29,12 +29,17 @@ def domain_schema(domain: str) -> T.StructType:
     )
 
 
-def read_domain(spark: SparkSession, domain: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """One domain.  CSV follows the header by name, so columns may come in any order or be absent."""
+def read_domain(
+    spark: SparkSession, domain: str, path: str, fmt: str = "parquet", multi_line: bool = False
+) -> DataFrame:
+    """One domain, its known columns in their types.
+
+    CSV follows the header by name, so columns may come in any order or be absent.  Line breaks
+    inside quotes need ``multi_line``, and then a file is one task; without it a row that is cut
+    by one does not have the header's number of columns and stops the read with an error.
+    """
     schema = domain_schema(domain)
-    if fmt == "parquet":
-        return spark.read.parquet(path)
-    raw = _text_csv(spark, path, multi_line=False)
+    raw = spark.read.parquet(path) if fmt == "parquet" else _text_csv(spark, path, multi_line)
     return raw.select(
         [
             F.col(f.name).try_cast(f.dataType).alias(f.name)
@@ -45,10 +50,12 @@ def read_domain(spark: SparkSession, domain: str, path: str, fmt: str = "parquet
     )
 
 
-def read_domain_if_present(spark: SparkSession, domain: str, path: str, fmt: str = "parquet") -> DataFrame | None:
+def read_domain_if_present(
+    spark: SparkSession, domain: str, path: str, fmt: str = "parquet", multi_line: bool = False
+) -> DataFrame | None:
     """``None`` for a domain that was not delivered."""
     try:
-        return read_domain(spark, domain, path, fmt)
+        return read_domain(spark, domain, path, fmt, multi_line)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -56,7 +63,9 @@ def read_domain_if_present(spark: SparkSession, domain: str, path: str, fmt: str
 
 
 def _text_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    return spark.read.options(header=True, inferSchema=False, escape='"', multiLine=multi_line).csv(path)
+    options = {"header": True, "inferSchema": False, "escape": '"', "multiLine": multi_line, "mode": "FAILFAST"}
+    # With pruning, columns nobody asks for are not parsed, and a torn row would go unnoticed.
+    return spark.read.options(columnPruning=False, **options).csv(path)
 
 
 def read_staging_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

@@ -86,7 +86,8 @@ def test_lenient_dates_agree_with_pandas(frame):
     for spelling, value in zip(SPELLINGS, got):
         wanted = pd.to_datetime(spelling, errors="coerce")
         if pd.isna(wanted):
-            assert value is None, spelling
+            # That library holds the years 1678 to 2261 only.
+            assert value is None or not 1678 <= value.year <= 2261, spelling
         else:
             assert pd.Timestamp(value) == wanted.tz_localize(None), spelling
 
@@ -99,7 +100,7 @@ def test_clinical_dates_read_day_counts(frame):
         day,
         day,
         STAMP(2019, 7, 28),
-        None,
+        STAMP(9999, 1, 1),
         None,
         STAMP(1905, 3, 30),
         day,
