@@ -64,6 +64,8 @@ def _offset(unit: int) -> int:
 def normalise(data: bytes, chars: CharacterMap, dummy: bool, trim: bool, escape: bool, suffix: bool = False):
     """Normalised bytes and, for each of them and the end, the position in ``data`` it came from.
 
+    All bytes of a mapped string come from the beginning of its prefix, copied bytes from themselves.
+
     ``dummy`` adds a blank in front (at the end with ``suffix``), ``trim`` drops blanks at both
     ends and all but one of a run, ``escape`` writes blanks as the blank symbol.
     """
@@ -72,7 +74,8 @@ def normalise(data: bytes, chars: CharacterMap, dummy: bool, trim: bool, escape:
 
     def put(piece: bytes, origin: int) -> None:
         out.extend(piece)
-        source.extend([origin] * len(piece))
+        copied = piece == data[origin : origin + len(piece)]
+        source.extend(range(origin, origin + len(piece)) if copied else [origin] * len(piece))
 
     def step(k: int) -> tuple[bytes, int]:
         mapped = chars.longest(data, k)
