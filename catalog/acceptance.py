@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import oracle_view, query
@@ -35,26 +38,118 @@ def _faulty(v) -> dict:
 
 
 def _faulty_and_linked(v) -> dict:
-    """Written once, as publication does before it checks."""
+    """Written once, as publication does before it checks.
+
+    Some people's visits, conditions and exposures end before they start, and some people's
+    measurements refer to a visit that does not exist.
+    """
     tables = _faulty(v)
     linked = visits.link_visits(tables, tables["visit_occurrence"], check=False)
+    for name, every in (("visit_occurrence", 11), ("condition_occurrence", 5), ("drug_exposure", 7)):
+        start, end, _ = acceptance.DATE_RANGES[name]
+        early = F.when(F.col("person_id") % every == 0, F.date_sub(start, 1)).otherwise(F.col(end))
+        linked[name] = linked[name].withColumn(end, early)
+    lost = F.when(F.col("person_id") % 13 == 0, F.lit(-1)).otherwise(F.col("visit_occurrence_id")).cast("bigint")
+    linked["measurement"] = linked["measurement"].withColumn("visit_occurrence_id", lost)
     return publication.write_stage(linked, "faulty")
 
 
+_REQUIRED = {
+    "person": ("o_person", ["person_id", "gender_concept_id", "year_of_birth", "race_concept_id", "ethnicity_concept_id"]),
+    "observation_period": (
+        "o_period",
+        [
+            "observation_period_id",
+            "person_id",
+            "observation_period_start_date",
+            "observation_period_end_date",
+            "period_type_concept_id",
+        ],
+    ),
+    "visit_occurrence": (
+        "o_visit",
+        [
+            "visit_occurrence_id",
+            "person_id",
+            "visit_concept_id",
+            "visit_start_date",
+            "visit_end_date",
+            "visit_type_concept_id",
+        ],
+    ),
+    "condition_occurrence": (
+        "o_condition",
+        [
+            "condition_occurrence_id",
+            "person_id",
+            "condition_concept_id",
+            "condition_start_date",
+            "condition_type_concept_id",
+        ],
+    ),
+    "drug_exposure": (
+        "o_drug",
+        [
+            "drug_exposure_id",
+            "person_id",
+            "drug_concept_id",
+            "drug_exposure_start_date",
+            "drug_exposure_end_date",
+            "drug_type_concept_id",
+        ],
+    ),
+    "measurement": (
+        "o_measurement",
+        [
+            "measurement_id",
+            "person_id",
+            "measurement_concept_id",
+            "measurement_date",
+            "measurement_type_concept_id",
+        ],
+    ),
+}
+
+
+def _patient_tables(v) -> dict:
+    return {
+        "person": domains.person(v.dm),
+        "observation_period": domains.observation_period(v.dm, check=False),
+        "visit_occurrence": domains.visit_occurrence(v.sv, check=False),
+        "condition_occurrence": domains.condition_occurrence(v.ae, v.mh, check=False),
+        "drug_exposure": domains.drug_exposure(v.ex, v.cm),
+        "measurement": domains.measurement(v.lb, v.vs, v.eg, check=False),
+    }
+
+
 @query(
     "check_required",
-    """select 'person' as table_name, column_name, violations from (
-           unpivot (select count(*) filter (where person_id is null) as person_id,
-                           count(*) filter (where gender_concept_id is null) as gender_concept_id,
-                           count(*) filter (where year_of_birth is null) as year_of_birth,
-                           count(*) filter (where race_concept_id is null) as race_concept_id,
-                           count(*) filter (where ethnicity_concept_id is null) as ethnicity_concept_id
-                    from {o_person})
-           on person_id, gender_concept_id, year_of_birth, race_concept_id, ethnicity_concept_id
-           into name column_name value violations)""",
+    " union all ".join(
+        f"select '{table}' as table_name, '{column}' as column_name, "
+        f"count(*) filter (where {column} is null) as violations from {{{view}}}"
+        for table, (view, columns) in _REQUIRED.items()
+        for column in columns
+    ),
 )
 def check_required(v):
-    return acceptance.required_violations(domains.person(v.dm), "person")
+    """Nulls in every required column of all six tables."""
+    parts = [acceptance.required_violations(df, name) for name, df in _patient_tables(v).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "check_keys",
+    """select 'repeated key' as "check", 'person' as table_name, 'person_id' as column_name, count(*) as violations
+       from {dm}
+       union all select 'repeated key', 'visit_occurrence', 'visit_occurrence_id', count(*) from {sv}
+       union all select 'repeated key', 'drug_exposure', 'drug_exposure_id', count(*) from {o_drug_rows}""",
+)
+def check_keys(v):
+    """Primary keys of all six tables; the rows of three of them are there twice."""
+    tables = _patient_tables(v)
+    for name in ("person", "visit_occurrence", "drug_exposure"):
+        tables[name] = tables[name].unionAll(tables[name])
+    return acceptance.key_violations(tables)
 
 
 @query(
@@ -100,15 +195,22 @@ def date_range_violations(v):
     ).select("USUBJID", "VISITNUM", "SVSTDTC", "SVENDTC")
 
 
-oracle_view(
-    "o_outside",
-    """
-    select v.person_id, v.visit_start_date, v.visit_end_date, count(*) as n_visits from {o_visit} v
+def _outside(visit_view: str) -> str:
+    return """
+    select v.person_id, v.visit_start_date, v.visit_end_date, count(*) as n_visits from {VISITS} v
     where not exists (select 1 from {o_short_period} p where p.person_id = v.person_id
                       and p.observation_period_start_date <= v.visit_start_date
                       and p.observation_period_end_date >= v.visit_end_date)
-    group by all""",
+    group by all""".replace("VISITS", visit_view)
+
+
+oracle_view("o_outside", _outside("o_visit"))
+oracle_view(
+    "o_visit_seeded",
+    """select * replace (case when person_id % 11 = 0 then cast(visit_start_date - interval 1 day as date)
+                              else visit_end_date end as visit_end_date) from {o_visit}""",
 )
+oracle_view("o_outside_seeded", _outside("o_visit_seeded"))
 
 
 @query("visits_outside_period", "select * from {o_outside}")
@@ -199,8 +301,20 @@ def _no_person(table: str, rows: str) -> str:
     select 'ends before start', 'observation_period', 'observation_period_end_date', count(*) from {o_short_period}
     where observation_period_end_date < observation_period_start_date""",
             """
+    select 'ends before start', 'visit_occurrence', 'visit_end_date', count(*) from {o_visit_seeded}
+    where visit_end_date < visit_start_date""",
+            """
+    select 'ends before start', 'condition_occurrence', 'condition_end_date', count(*) from {o_condition_rows}
+    where case when person_id % 5 = 0 then s is not null else cast(e as date) < cast(s as date) end""",
+            """
+    select 'ends before start', 'drug_exposure', 'drug_exposure_end_date', count(*) from {o_drug_rows}
+    where case when person_id % 7 = 0 then s is not null else cast(e as date) < cast(s as date) end""",
+            """
+    select 'no visit', 'measurement', 'visit_occurrence_id', count(*) from {o_measurement_rows}
+    where person_id % 13 = 0""",
+            """
     select 'outside observation period', 'visit_occurrence', 'visit_start_date', coalesce(sum(n_visits), 0)::bigint
-    from {o_outside}""",
+    from {o_outside_seeded}""",
             """
     select concat('concept ', problem), table_name, column_name, sum(n)::bigint from {o_concept_violations}
     group by all""",
@@ -209,7 +323,7 @@ def _no_person(table: str, rows: str) -> str:
     + ") x where violations > 0",
 )
 def acceptance_query(v):
-    """All relational checks on the faulty tables; linked visits always exist."""
+    """All relational checks on the faulty tables."""
     return acceptance.relational_violations(_faulty_and_linked(v), v.concept, AS_OF)
 
 
