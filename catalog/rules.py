@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import oracle_view, query, stamped
 from catalog.views import AS_OF
-from catalog.vocabulary import all_terms
+from catalog.vocabulary import all_terms, patient_tables
 from clinspark.operators import candidates, domains, mapping, rules
+from clinspark.plans import review
+from clinspark.session import stage
+from clinspark.sources import publication
+
 
 def now():
     return F.lit("2024-01-01 12:00:00").cast("timestamp_ntz")
@@ -236,6 +243,102 @@ def proposal_scores(v):
     )
 
 
+def _all_replies(v):
+    """An answer for every term: its candidate with the highest id."""
+    found = candidates.prefiltered(all_terms(v), v.concept, AS_OF)
+    text = """select domain_id, source_value, concat('ID ', cast(max(concept_id) as string)) as reply
+              from {found} group by domain_id, source_value"""
+    return v.spark.sql(text, found=found)
+
+
+def _run_proposals(v, tables):
+    """The store after a run's proposals."""
+    store = {name: rules.empty(v.spark, name) for name in rules.SCHEMAS}
+    store["approved"], store["rejected"] = v.term_approved, v.term_rejected
+    new, events = review.propose_mappings(
+        tables, v.concept, _all_replies(v), store, "RUN-9", "model-b", now(), 0.0, as_of=AS_OF
+    )
+    return {**store, "decision": new, "decision_event": stage(events, "run-events")}
+
+
+oracle_view(
+    "o_run_decisions",
+    """
+    select target_table, key, min(concept_id) as concept_id,
+           case when bool_or(refused) then 'REJECTED_BY_POLICY' when min(concept_id) = 0 then 'UNRESOLVED'
+                else 'PROPOSED' end as decision_status
+    from (select t.target_table, @key(t.source_value) as key, r.rejected_by is not null as refused,
+                 case when r.rejected_by is not null then 0 else coalesce(s.concept_id, 0) end as concept_id
+          from {o_terms} t
+          left join {term_approved} a on a.target_table = t.target_table and a.normalized_value = @key(t.source_value)
+               and a.active
+          left join {term_rejected} r on r.target_table = t.target_table and r.normalized_value = @key(t.source_value)
+               and r.active
+          left join (select domain_id, source_value, max(concept_id) as pick from {o_prefilter}
+                     group by domain_id, source_value) p
+               on p.domain_id = t.domain_id and p.source_value = t.source_value
+          left join {o_shortlist} s on s.domain_id = t.domain_id and s.source_value = t.source_value
+               and s.concept_id = p.pick
+          where a.concept_id is null) x
+    group by target_table, key""",
+)
+
+
+@query(
+    "proposal_flow",
+    """select d.target_table, d.decision_status, count(distinct d.key) as decisions, count(e.id) as events
+       from {o_run_decisions} d
+       join {o_mapped_events} e on e.t = d.target_table and @key(e.term) = d.key
+       group by d.target_table, d.decision_status""",
+)
+def proposal_flow(v):
+    """Unmapped terms to proposals, decisions and their events, for all three tables."""
+    store = _run_proposals(v, patient_tables(v))
+    return (
+        store["decision_event"]
+        .join(store["decision"], "mapping_decision_id")
+        .groupBy("target_table", "decision_status")
+        .agg(F.count_distinct("mapping_decision_id").alias("decisions"), F.count("target_id").alias("events"))
+    )
+
+
+@query(
+    "review_flow",
+    """select t.target_table as table_name, count(e.id) as mapped, count(e.id) as audited, 0::bigint as audited_again
+       from (select 'condition_occurrence' as target_table union all select 'drug_exposure'
+             union all select 'measurement') t
+       left join {o_run_decisions} d on d.target_table = t.target_table and d.decision_status = 'PROPOSED'
+            and length(d.key) % 2 = 0
+       left join {o_mapped_events} e on e.t = d.target_table and @key(e.term) = d.key
+       group by t.target_table""",
+)
+def review_flow(v):
+    """A run's proposals reviewed, made into rules and applied; the second round finds nothing to do."""
+    tables = publication.write_stage(patient_tables(v), "review-tables")
+    store = _run_proposals(v, tables) | {name: rules.empty(v.spark, name) for name in ("approved", "rejected")}
+    actions = store["decision"].where("decision_status = 'PROPOSED'").selectExpr(
+        "mapping_decision_id as seq",
+        "mapping_decision_id",
+        "case when length(normalized_value) % 2 = 0 then 'approve' else 'reject' end as action",
+        "'Cy' as reviewer",
+        "'seen' as reason",
+        "cast(null as bigint) as selected_concept_id",
+    )
+    done, following, _ = review.review_round(actions, tables, v.concept, store, "RUN-10", now())
+    done = publication.write_stage(done, "reviewed-tables")
+    following["provenance"] = stage(following["provenance"], "audit")
+    _, last, _ = review.review_round(actions.limit(0), done, v.concept, following, "RUN-11", now())
+    changed = [
+        done[name].select(F.lit(name).alias("t"), F.lit("mapped").alias("what"), F.col(target.concept_col) != 0)
+        for name, target in mapping.TARGETS.items()
+    ]
+    audited = following["provenance"].select("target_table", F.lit("audited"), F.lit(True))
+    again = last["provenance"].select("target_table", F.lit("audited_again"), F.col("run_id") == "RUN-11")
+    marks = reduce(DataFrame.union, [*changed, audited, again]).toDF("table_name", "what", "holds")
+    counts = [F.count_if((F.col("what") == w) & F.col("holds")).alias(w) for w in ("mapped", "audited", "audited_again")]
+    return marks.groupBy("table_name").agg(*counts)
+
+
 REQUESTS = """
     select 'drug_exposure' as target_table, source_value,
            case when min(p_partkey) % 5 = 0 then 0 else 2000000000 + min(p_partkey) end as concept_id

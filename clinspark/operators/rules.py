@@ -88,12 +88,17 @@ def new_rows(candidates: DataFrame, existing: DataFrame, key: list[str]) -> Data
     return fresh.unionByName(candidates.where(~complete))
 
 
-def append_provenance(rows: DataFrame, existing: DataFrame, created_at: Column) -> DataFrame:
-    """Provenance rows to append; events already audited by this run and method are skipped."""
+def append_provenance(
+    rows: DataFrame, existing: DataFrame, created_at: Column, first_id: int | None = None
+) -> DataFrame:
+    """Provenance rows to append; events already audited by this run and method are skipped.
+
+    The run is part of the key, so ``existing`` may be cut to the runs in ``rows`` if ``first_id``
+    (the first free id of the whole table) is given.
+    """
     fresh = new_rows(rows, existing, PROVENANCE_KEY).withColumn("created_at", created_at.cast("timestamp_ntz"))
-    numbered = with_dense_ids(
-        fresh, "provenance_id", ["target_table", "target_id", "mapping_method"], next_id(existing, "provenance_id")
-    )
+    first_id = next_id(existing, "provenance_id") if first_id is None else first_id
+    numbered = with_dense_ids(fresh, "provenance_id", ["target_table", "target_id", "mapping_method"], first_id)
     return numbered.select(*empty(rows.sparkSession, "provenance").columns)
 
 
