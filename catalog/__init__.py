@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["scalars", "tables", "linking", "vocabulary", "rules", "acceptance", "analytics"]
+MODULES = ["scalars", "sources", "tables", "linking", "vocabulary", "rules", "acceptance", "analytics"]
 
 
 def load():
