@@ -351,6 +351,7 @@ def acceptance_report(v):
     )
     concept = v.concept.where("concept_id <> 8713").unionByName(extra)
     root = stage_path(v.spark, "published")
-    study.run_study(delivery, concept, v.rel, root, "RUN-1", as_of=AS_OF)
+    audit = stage_path(v.spark, "audit")
+    study.run_study(delivery, concept, v.rel, root, "RUN-1", as_of=AS_OF, provenance_path=audit)
     publication.publish_vocabulary(concept, v.rel, root)  # another set below the same root
     return publication.acceptance_report(v.spark, root, concept, AS_OF)

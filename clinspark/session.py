@@ -10,6 +10,7 @@ so a lost executor costs a re-read and never a wrong answer.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,8 +61,30 @@ def stage_root(spark: SparkSession) -> str:
     return f"{configured.rstrip('/')}/clinspark-{spark.sparkContext.applicationId}"
 
 
+_open_scopes: list[list[str]] = []
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
-    return f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession):
+    """Delete the stages made inside the block when it ends: nothing may read them afterwards."""
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, uri: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -84,6 +107,4 @@ def drop_stages(spark: SparkSession) -> bool:
     """Delete the stages of this application once its results are published."""
     for forget in _on_drop:
         forget(spark)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.delete(path, True)
+    return _delete(spark, stage_root(spark))
