@@ -169,7 +169,9 @@ def fit(
     table = with_statistics(texts).select(
         F.col("c0").alias("doc_id"), F.col("c2").alias("label"), array_to_vector(F.array(*STATISTICS)).alias("features")
     )
-    # A bounded sample in a fixed order: fits agree from run to run.
+    # A bounded sample, written by the tasks that read the texts and then put in a fixed order in
+    # one task: fits agree from run to run.
+    table = stage(table, "quality-statistics")
     table = stage(table.coalesce(1).sortWithinPartitions("doc_id", "label"), "quality-sample")
     classes = {row["label"] for row in table.select("label").distinct().collect()}
     if len(classes) < 2:
