@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import oracle_view, query, stamped
+from catalog.scalars import CONFIDENCE
 from catalog.views import AS_OF
 from catalog.vocabulary import all_terms, patient_tables
 from clinspark.operators import candidates, domains, mapping, rules
@@ -229,7 +230,41 @@ def propose(v):
     return found.select("run_id", "target_table", "source_value", "model_name", "proposed_concept_id")
 
 
-@query("proposal_scores")
+oracle_view(
+    "o_drug_proposals",
+    """
+    select t.source_value as id, t.source_value as a, s.concept_name as b, @key(t.source_value) as key,
+           r.rejected_by is not null as refused,
+           case when r.rejected_by is not null then 0 else coalesce(s.concept_id, 0) end as concept_id
+    from {o_terms} t
+    left join {term_approved} a on a.target_table = t.target_table and a.normalized_value = @key(t.source_value)
+         and a.active
+    left join {term_rejected} r on r.target_table = t.target_table and r.normalized_value = @key(t.source_value)
+         and r.active
+    left join (select domain_id, source_value, max(concept_id) as pick from {o_prefilter}
+               group by domain_id, source_value) p
+         on p.domain_id = t.domain_id and p.source_value = t.source_value
+    left join {o_shortlist} s on s.domain_id = t.domain_id and s.source_value = t.source_value
+         and s.concept_id = p.pick
+    where t.target_table = 'drug_exposure' and a.concept_id is null""",
+)
+oracle_view("o_scored_pairs", "select * from {o_drug_proposals} where concept_id <> 0")
+
+
+@query(
+    "proposal_scores",
+    """select decision_status, count(*) as terms, round(avg(score), 4) as mean_score
+       from (select score, case when refused then 'REJECTED_BY_POLICY' when concept_id = 0 then 'UNRESOLVED'
+                                when score < 0.9 then 'LOW_CONFIDENCE' else 'PROPOSED' end as decision_status
+             from (select p.key, arg_min(p.refused, p.id) as refused, arg_min(p.concept_id, p.id) as concept_id,
+                          arg_min(coalesce(c.confidence, 0.0), p.id) as score
+                   from {o_drug_proposals} p
+                   left join ("""
+    + CONFIDENCE.replace("PAIRS", "o_scored_pairs")
+    + """) c on c.id = p.id
+                   group by p.key) x) y
+       group by decision_status""",
+)
 def proposal_scores(v):
     """The scores of ``propose``, by status."""
     drugs = domains.drug_exposure(v.ex, v.cm, ids=False)

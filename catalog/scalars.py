@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import query, stamped
+from catalog.registry import oracle_view, query, stamped
 from clinspark.functions import codes, dates, numbers, text
 from clinspark.functions.similarity import confidence, token_sort_similarity
 from clinspark.operators import candidates, domains
@@ -261,31 +261,39 @@ def similarity(v):
     return _pairs(v).select("p_partkey", token_sort_similarity("term", "concept_name").alias("similarity"))
 
 
-@query(
-    "confidence",
-    """select p_partkey, round(round_even(case when len(shared) > 0 and (len(ra) = 0 or len(rb) = 0) then 100.0
+CONFIDENCE = """
+    select id, round(round_even(case when len(shared) > 0 and (len(ra) = 0 or len(rb) = 0) then 100.0
               else greatest(200.0 * (length(one) - bit_count(list_reduce(list_prepend(full_mask, masks::hugeint[]),
                                 lambda v, m: ((v + (v & m)) | (v - (v & m))) & full_mask)))
                                 / (length(one) + length(two)),
                             case when base <> '' then 200.0 * length(base) / (length(base) + length(one)) else 0 end,
                             case when base <> '' then 200.0 * length(base) / (length(base) + length(two)) else 0 end)
               end, 0) / 100.0, 2) as confidence
-       from (select *, (1::hugeint << length(one)::hugeint) - 1 as full_mask,
-                    list_transform(string_split(two, ''), lambda ch: list_sum(list_transform(range(0, length(one)),
-                        lambda i: case when substr(one, (i + 1)::int, 1) = ch then (1::hugeint << i::hugeint)
-                                       else 0::hugeint end))) as masks
-             from (select *, array_to_string(shared, ' ') as base, array_to_string(list_concat(shared, ra), ' ') as one,
-                          array_to_string(list_concat(shared, rb), ' ') as two
-                   from (select p_partkey, list_sort(list_filter(ta, lambda x: list_contains(tb, x))) as shared,
-                                list_sort(list_filter(ta, lambda x: not list_contains(tb, x))) as ra,
-                                list_sort(list_filter(tb, lambda x: not list_contains(ta, x))) as rb
-                         from (select s.p_partkey,
-                                      list_distinct(string_split_regex(
-                                          trim(regexp_replace(lower(s.term), '\\W+', ' ', 'g')), ' ')) as ta,
-                                      list_distinct(string_split_regex(
-                                          trim(regexp_replace(lower(p.concept_name), '\\W+', ' ', 'g')), ' ')) as tb
-                               from {term_text} s
-                               join {part_concept} p on p.concept_id - 2000000000 = s.p_partkey) x) y) z) q""",
+    from (select *, (1::hugeint << length(one)::hugeint) - 1 as full_mask,
+                 list_transform(string_split(two, ''), lambda ch: list_sum(list_transform(range(0, length(one)),
+                     lambda i: case when substr(one, (i + 1)::int, 1) = ch then (1::hugeint << i::hugeint)
+                                    else 0::hugeint end))) as masks
+          from (select *, array_to_string(shared, ' ') as base, array_to_string(list_concat(shared, ra), ' ') as one,
+                       array_to_string(list_concat(shared, rb), ' ') as two
+                from (select id, list_sort(list_filter(ta, lambda x: list_contains(tb, x))) as shared,
+                             list_sort(list_filter(ta, lambda x: not list_contains(tb, x))) as ra,
+                             list_sort(list_filter(tb, lambda x: not list_contains(ta, x))) as rb
+                      from (select id,
+                                   list_distinct(string_split_regex(
+                                       trim(regexp_replace(lower(a), '\\W+', ' ', 'g')), ' ')) as ta,
+                                   list_distinct(string_split_regex(
+                                       trim(regexp_replace(lower(b), '\\W+', ' ', 'g')), ' ')) as tb
+                            from {PAIRS}) x) y) z) q"""
+oracle_view(
+    "o_term_name_pairs",
+    """select s.p_partkey as id, s.term as a, p.concept_name as b from {term_text} s
+       join {part_concept} p on p.concept_id - 2000000000 = s.p_partkey""",
+)
+
+
+@query(
+    "confidence",
+    "select id as p_partkey, confidence from (" + CONFIDENCE.replace("PAIRS", "o_term_name_pairs") + ") c",
 )
 def confidence_query(v):
     return _pairs(v).select("p_partkey", confidence("term", "concept_name").alias("confidence"))

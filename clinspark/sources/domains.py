@@ -9,23 +9,22 @@ from pyspark.sql import types as T
 
 # Text columns of each domain, then its numeric columns.
 DOMAIN_COLUMNS = {
-    "DM": ("USUBJID SEX RACE ETHNIC BRTHDTC RFSTDTC RFENDTC", ""),
-    "SV": ("USUBJID VISIT SVSTDTC SVENDTC", "VISITNUM"),
-    "AE": ("USUBJID AETERM AEDECOD AESTDTC AEENDTC AEOUT", "AESEQ"),
-    "MH": ("USUBJID MHTERM MHSTDTC", "MHSEQ"),
-    "EX": ("USUBJID EXTRT EXDOSU EXROUTE EXSTDTC EXENDTC", "EXSEQ EXDOSE"),
-    "CM": ("USUBJID CMTRT CMDOSU CMROUTE CMSTDTC CMENDTC", "CMSEQ CMDOSE"),
-    "LB": ("USUBJID LBTEST LBORRES LBORRESU LBDTC VISIT", "LBSEQ LBSTRESN VISITNUM"),
-    "VS": ("USUBJID VSTEST VSORRES VSORRESU VSDTC VISIT", "VSSEQ VSSTRESN VISITNUM"),
-    "EG": ("USUBJID EGTEST EGORRES EGORRESU EGDTC VISIT", "EGSEQ EGSTRESN VISITNUM"),
+    "DM": (["USUBJID", "SEX", "RACE", "ETHNIC", "BRTHDTC", "RFSTDTC", "RFENDTC"], []),
+    "SV": (["USUBJID", "VISIT", "SVSTDTC", "SVENDTC"], ["VISITNUM"]),
+    "AE": (["USUBJID", "AETERM", "AEDECOD", "AESTDTC", "AEENDTC", "AEOUT"], ["AESEQ"]),
+    "MH": (["USUBJID", "MHTERM", "MHSTDTC"], ["MHSEQ"]),
+    "EX": (["USUBJID", "EXTRT", "EXDOSU", "EXROUTE", "EXSTDTC", "EXENDTC"], ["EXSEQ", "EXDOSE"]),
+    "CM": (["USUBJID", "CMTRT", "CMDOSU", "CMROUTE", "CMSTDTC", "CMENDTC"], ["CMSEQ", "CMDOSE"]),
+    "LB": (["USUBJID", "LBTEST", "LBORRES", "LBORRESU", "LBDTC", "VISIT"], ["LBSEQ", "LBSTRESN", "VISITNUM"]),
+    "VS": (["USUBJID", "VSTEST", "VSORRES", "VSORRESU", "VSDTC", "VISIT"], ["VSSEQ", "VSSTRESN", "VISITNUM"]),
+    "EG": (["USUBJID", "EGTEST", "EGORRES", "EGORRESU", "EGDTC", "VISIT"], ["EGSEQ", "EGSTRESN", "VISITNUM"]),
 }
 
 
 def domain_schema(domain: str) -> T.StructType:
     texts, numbers = DOMAIN_COLUMNS[domain.upper()]
     return T.StructType(
-        [T.StructField(name, T.StringType()) for name in texts.split()]
-        + [T.StructField(name, T.DoubleType()) for name in numbers.split()]
+        [T.StructField(name, T.StringType()) for name in texts] + [T.StructField(name, T.DoubleType()) for name in numbers]
     )
 
 
