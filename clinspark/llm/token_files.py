@@ -5,9 +5,9 @@ byte-aligned: a rank takes one to four bytes, and four two-bit lengths share a c
 Control bytes and data bytes are kept apart, so a reader looks up the lengths of four ranks
 at once in a table of 256 rows and gathers the data without a loop.
 
-The work is three Spark jobs: count ids (each distinct word of a partition is encoded once
-and weighed by its count), encode texts and deal the coded rows out by ranges of ``doc_id``,
-write one file per range.  A file has a name of its own for each attempt of its task; the
+The work is a few Spark jobs: encode the texts and keep their ids in the stage folder, count
+the ids, code them by rank and deal the rows out by ranges of ``doc_id``, write one file per
+range.  A file has a name of its own for each attempt of its task; the
 manifest, written by Spark, names the files of the attempts that were committed, so lost
 executors and repeated tasks leave nothing wrong behind.
 
@@ -22,7 +22,6 @@ import re
 import struct
 import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,7 +31,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clinspark.llm.common import shuffle_partitions, small_batches
+from clinspark.llm.common import drop_path, shuffle_partitions, small_batches
 from clinspark.session import stage, stage_path
 
 MAGIC = b"TOKR0001"
@@ -43,6 +42,9 @@ CACHED_WORDS = 1_500_000
 # Lengths of the four ranks that a control byte describes.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
+MARKS = ".,;:!?%&#$*|)]}\""  # of these, what ends a word is encoded by itself
+
+_BLANK = re.compile(r"\s")
 _TWO_BLANKS = re.compile(r"\s\s|^\s|\s$")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -51,8 +53,10 @@ class WordEncoder:
     """Ids of whole texts, word by word.
 
     A byte-level pre-tokenizer always cuts before a single space between two other characters,
-    and what lies between two cuts is encoded by itself.  So a text is cut there, and each
-    word is given to the tokenizer once.  Other kinds of tokenizers get whole texts.
+    and on both sides of such a line break; what lies between two cuts is encoded by itself.
+    So a text is cut there, and each word is given to the tokenizer once.  Texts with runs of
+    blanks are cut at their single spaces only, and other kinds of tokenizers get whole texts.
+    What is known is a memory of the worker: it is dropped when full and changes no result.
     """
 
     def __init__(self, path: str):
@@ -66,79 +70,86 @@ class WordEncoder:
             and not before.add_prefix_space
             and "use_regex=False" not in repr(before)
         )
-        self.size = self.tokenizer.get_vocab_size()
         vocabulary = self.tokenizer.get_vocab()
-        self.starts_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.size = max(vocabulary.values()) + 1
+        self.id_type = "<u2" if self.size <= 1 << 16 else "<u4"
+        self.starts_word = np.zeros(self.size, dtype=bool)
         self.starts_word[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.break_id = vocabulary.get("Ċ")
+        self.known: dict[str, bytes] = {}  # words behind a space, or with the line break before them
+        self.marks: dict[str, bytes] = {}  # ends of words
 
     def cut(self, text: str) -> list[str]:
-        """The words of a text; all but the first have lost the space before them."""
-        if not self.by_word:
-            return [text]
-        return _LONE_SPACE.split(text) if _TWO_BLANKS.search(text) else text.split(" ")
+        """The words of a text, without the space but with the line break before them.
+
+        The text counts as a line.  An empty list means that it has to be encoded whole.
+        """
+        if not self.by_word or self.break_id is None or not text or _TWO_BLANKS.search(text):
+            return []
+        words = text.replace("\n", " \n").split(" ")
+        words[0] = "\n" + words[0]
+        return words
 
-    def learn(self, first: set[str], later: set[str]) -> None:
+    def learn(self, words: set[str]) -> None:
         """Encode the words that are not known yet."""
-        for known in (self.first, self.later):
-            if len(known) > CACHED_WORDS:
-                known.clear()
-        first = [w for w in first if w not in self.first]
-        later = [w for w in later if w not in self.later]
-        self._one_by_one(first, self.first, "")
-        plain = [w for w in later if w and not re.search(r"\s", w)]
-        self._one_by_one([w for w in later if not w or re.search(r"\s", w)], self.later, " ")
-        for at in range(0, len(plain), 2000):  # many words in one call: each begins with its space
-            some = plain[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4")
-            begins = np.flatnonzero(self.starts_word[ids])
-            if len(begins) != len(some):
-                self._one_by_one(some, self.later, " ")
-                continue
-            data, ends = ids.tobytes(), np.append(begins[1:], len(ids)) * 4
-            for word, a, b in zip(some, (begins * 4).tolist(), ends.tolist(), strict=True):
-                self.later[word] = data[a:b]
-
-    def _one_by_one(self, words: list[str], known: dict[str, bytes], before: str) -> None:
-        for at in range(0, len(words), 1000):
-            some = words[at : at + 1000]
-            encoded = self.tokenizer.encode_batch([before + w for w in some], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, encoded, strict=True))
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        known = self.known
+        if len(known) > CACHED_WORDS:
+            known.clear()
+        if len(self.marks) > CACHED_WORDS:
+            self.marks.clear()
+        new = words.difference(known)
+        # The tokenizer cuts between a letter and the marks behind it, too.
+        bare = {w: w.rstrip(MARKS) for w in new}
+        bare = {w: b if b and b[-1].isalpha() else w for w, b in bare.items()}
+        for before in ("\n", " "):
+            plain = {w for w in bare.values() if (w[:1] == "\n") == (before == "\n")}.difference(known)
+            odd = {w for w in plain if not w.isalnum() and _BLANK.search(w, 1)}
+            self._one_by_one(list(odd), before)
+            plain = list(plain - odd)
+            for at in range(0, len(plain), 2000):  # many words in one call: each begins with its blank
+                self._together(plain[at : at + 2000], before)
+        marks = list({w[len(b) :] for w, b in bare.items() if w != b} - self.marks.keys())
+        self.marks.update(zip(marks, (ids.tobytes() for ids in self._encoded(marks)), strict=True))
+        known.update((w, known[b] + self.marks[w[len(b) :]]) for w, b in bare.items() if w != b)
+
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.id_type) for e in found]
+
+    def _together(self, words: list[str], before: str) -> None:
+        ids = self._encoded(["".join(words) if before == "\n" else " " + " ".join(words)])[0]
+        # A space is part of its word's first id, a line break is an id of its own.
+        begins = np.flatnonzero(self.starts_word[ids] if before == " " else ids == self.break_id)
+        if len(begins) != len(words):
+            self._one_by_one(words, before)
+            return
+        size = ids.itemsize
+        data, ends = ids.tobytes(), np.append(begins[1:], len(ids)) * size
+        for word, a, b in zip(words, (begins * size).tolist(), ends.tolist(), strict=True):
+            self.known[word] = data[a:b]
+
+    def _one_by_one(self, words: list[str], before: str) -> None:
+        ids = self._encoded([w if before == "\n" else " " + w for w in words])
+        self.known.update(zip(words, (i.tobytes() for i in ids), strict=True))
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text, as little-endian numbers of ``id_type``."""
         cut = [self.cut(t) for t in texts]
-        self.learn({w[0] for w in cut}, {x for w in cut for x in w[1:]})
-        for words in cut:
-            data = self.first[words[0]] + b"".join([self.later[w] for w in words[1:]])
-            yield np.frombuffer(data, "<u4")
-
-    def count(self, texts: Iterator[list[str]], end_id: int) -> np.ndarray:
-        """How often each id is used in all ``texts``, end ids included."""
-        total = np.zeros(max(self.size, len(self.starts_word), end_id + 1), np.int64)
-        first, later = Counter(), Counter()
-
-        def settle() -> None:
-            self.learn(set(first), set(later))
-            for words, known in ((first, self.first), (later, self.later)):
-                if words:
-                    coded = [known[w] for w in words]
-                    sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-                    weights = np.repeat(np.fromiter(words.values(), np.int64, len(coded)), sizes)
-                    ids = np.frombuffer(b"".join(coded), "<u4")
-                    total[:] += np.bincount(ids, weights, len(total)).astype(np.int64)
-                words.clear()
-
-        for some in texts:
-            total[end_id] += len(some)
-            for text in some:
-                words = self.cut(text)
-                first[words[0]] += 1
-                later.update(words[1:])
-            if len(first) + len(later) > CACHED_WORDS // 2:
-                settle()
-        settle()
-        return total
+        self.learn(set().union(*cut))
+        size = np.dtype(self.id_type).itemsize
+        for text, words in zip(texts, cut, strict=True):
+            if words:
+                yield b"".join(map(self.known.__getitem__, words))[size:]  # without the break before the text
+            else:
+                yield self._split(text)
+
+    def _split(self, text: str) -> bytes:
+        """A text with runs of blanks, cut at its single spaces only."""
+        if not self.by_word:
+            return self._encoded([text])[0].tobytes()
+        words = _LONE_SPACE.split(text)
+        parts = [words[0], *(" " + w for w in words[1:])]
+        return b"".join(ids.tobytes() for ids in self._encoded(parts))
 
 
 @lru_cache(maxsize=4)
@@ -187,16 +198,35 @@ def filesystem(uri: str) -> tuple[arrow_fs.FileSystem, str]:
     return arrow_fs.FileSystem.from_uri(re.sub(r"^file:/+", "/", uri))
 
 
-def frequency_ranks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """``id`` and ``rank`` of every id that the corpus uses; ties to the smaller id."""
+def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """``doc_id`` and ``ids`` (bytes, the end id included) of every row."""
 
     def run(batches):
-        texts = ([t or "" for t in b.column(0).to_pylist()] for b in batches)
-        counts = encoder(tokenizer).count(texts, end_id)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["id", "n"])
+        tool = encoder(tokenizer)
+        end = np.array([end_id], tool.id_type).tobytes()
+        for batch in batches:
+            ids = [x + end for x in tool.encode([t or "" for t in batch.column(1).to_pylist()])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
-    counts = docs.select(F.col("text").cast("string")).mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    small_batches(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids binary")
+
+
+def frequency_ranks(ids: DataFrame, id_type: str = "<u2") -> DataFrame:
+    """``id`` and ``rank`` of every id in the ``ids`` bytes; ties to the smaller id."""
+
+    def run(batches):
+        total = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for data in batch.column(0):
+                counts = np.bincount(np.frombuffer(data.as_buffer(), id_type))
+                if len(counts) > len(total):
+                    total = np.append(total, np.zeros(len(counts) - len(total), np.int64))
+                total[: len(counts)] += counts
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
+
+    counts = ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     order = Window.orderBy(F.desc("n"), "id")  # at most one row per id of the vocabulary
     return counts.select("id", (F.row_number().over(order) - 1).alias("rank"))
 
@@ -209,27 +239,31 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0) -> tuple[DataFrame,
     rows that repeat an id are ordered by their ids' bytes.  An empty table writes no file.
     """
     spark = docs.sparkSession
-    small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    by_rank = [r["id"] for r in frequency_ranks(docs, tokenizer, end_id).orderBy("rank").collect()]  # one per id used
+    id_type = encoder(tokenizer).id_type
+    held = stage_path(spark, "token-ids")
+    encoded(docs, tokenizer, end_id).write.option("compression", "zstd").parquet(held)
+    ids = spark.read.schema("doc_id long, ids binary").parquet(held)
+    by_rank = [r["id"] for r in frequency_ranks(ids, id_type).orderBy("rank").collect()]  # one per id used
     rank_of = np.zeros(max(by_rank, default=0) + 1, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank))
 
     def code(batches):
         for batch in batches:
-            rows = [
-                (len(ids) + 1, *pack(rank_of[np.append(ids, np.uint32(end_id))]))
-                for ids in encoder(tokenizer).encode([t or "" for t in batch.column(1).to_pylist()])
-            ]
-            n, control, data = zip(*rows, strict=True) if rows else ((), (), ())
+            rows = [np.frombuffer(data.as_buffer(), id_type) for data in batch.column(1)]
+            packed = [pack(rank_of[row]) for row in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary())],
+                [
+                    batch.column(0),
+                    pa.array([len(row) for row in rows], pa.int64()),
+                    pa.array([c for c, _ in packed], pa.binary()),
+                    pa.array([d for _, d in packed], pa.binary()),
+                ],
                 ["doc_id", "n", "control", "data"],
             )
 
-    # Bounds of the ranges come from the ids alone, so that no text is encoded for them.
+    # Bounds of the ranges come from the documents' ids alone, so that nothing is coded for them.
     parts = shuffle_partitions(spark)
-    bounds = docs.stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts)
+    bounds = ids.stat.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts)
     bounds = sorted({int(b) for b in bounds})
     file_no = F.lit(0)
     if bounds:
@@ -278,7 +312,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0) -> tuple[DataFrame,
         if out is not None:
             yield close()
 
-    coded = docs.mapInArrow(code, "doc_id long, n long, control binary, data binary")
+    coded = ids.mapInArrow(code, "doc_id long, n long, control binary, data binary")
     manifest = (
         coded.select(file_no.alias("file_no"), "doc_id", "n", "control", "data")
         .repartitionById(parts, F.col("file_no").cast("int"))
@@ -287,6 +321,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0) -> tuple[DataFrame,
     )
     before = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     manifest = stage(manifest, "token-manifest")
+    drop_path(spark, held)
     return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0))), by_rank
 
 
