@@ -81,8 +81,10 @@ def stretches(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     rows = stage(unit_rows(docs), "units")
     grouped = rows.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("n")).where("n > 1")
+    # Staged, so that the join has a plain shuffle on both sides: the rows of a very common unit can then be split.
+    grouped = stage(grouped.select("digest", "keep_id"), "repeated-units")
     repeats = (
-        rows.join(grouped.select("digest", "keep_id"), "digest")
+        rows.join(grouped, "digest")
         .where((F.col("doc_id") > F.col("keep_id")) | (F.col("again") & F.col("doc_id").isNotNull()))
         .select("doc_id", "unit", "begin", "end", "n_words", "keep_id")
         .distinct()
