@@ -173,4 +173,4 @@ def licenses_query(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op10_repeats")
 def repeats_query(spark: SparkSession, folder: str) -> DataFrame:
-    return repeats.stretches(_table(spark, folder, "documents"))
+    return repeats.passages(_table(spark, folder, "documents"))

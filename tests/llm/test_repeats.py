@@ -66,6 +66,24 @@ def test_a_passage_inside_another_line_is_found(docs):
     assert rows[1][1][found[0]["begin"] : found[0]["end"]].count(" ") > 30
 
 
+def test_a_passage_cut_mid_sentence_keeps_its_halves(docs):
+    passage = "one two three four five. Six seven eight. Nine ten eleven twelve"
+    rows = [(1, f"Alpha {passage} omega."), (2, f"Beta {passage} end."), (3, f"Gamma. {passage}. Delta"), (4, "alone here.\nSix seven eight.")]
+    found = {r["doc_id"]: r for r in repeats.passages(docs(*rows)).collect()}
+    assert found.keys() == {2, 3, 4}
+    for i, words in ((2, passage), (3, passage.rsplit(" ", 1)[0]), (4, "Six seven eight.")):
+        r = found[i]
+        assert (rows[i - 1][1][r["begin"] : r["end"]], r["n_words"], r["keep_id"]) == (words, len(words.split()), 1)
+    assert [r["doc_id"] for r in repeats.passages(docs(*rows), 12).collect()] == [2]
+    left = {r["doc_id"]: r["text"] for r in repeats.without_repeats(docs(*rows)).collect()}
+    assert left == {1: rows[0][1], 2: "Beta  end.", 3: "Gamma.  twelve. Delta", 4: "alone here.\n"}
+
+
+def test_a_unit_kept_for_others_is_not_cut(docs):
+    text = "p z.\nq z.\nq z."
+    assert repeats.without_repeats(docs((1, text))).first()["text"] == "p z.\nq z.\n"
+
+
 def test_cut_texts_and_what_is_kept(clashing):
     rng = random.Random(2)
     passage = "\n".join(sentence(rng) for _ in range(10))
