@@ -6,8 +6,9 @@ language whose sample needs the fewest phrases per symbol describes the text bes
 
 An automaton is a dense table: from a state and a symbol to the next state and the number of
 phrases that end.  Tasks parse many pieces of texts at the same time, one table look-up per
-symbol and language.  Texts are cut into pieces of fixed length for that, whole texts are
-parsed, and the result of a text does not depend on what else is in the batch.
+symbol and language.  Texts are cut into pieces of 256 symbols for that, and each piece begins a
+new phrase; whole texts are parsed, and the result of a text does not depend on what else is in
+the batch.
 """
 
 from __future__ import annotations
@@ -16,13 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinspark.llm.common import held_out, small_batches, uniform
 
 SAMPLE_ROWS = 64  # labelled documents per language, about
-SAMPLE_CHARS = 1000  # of each of them, from its beginning
+SAMPLE_CHARS = 1000  # of each of them, from all over the text
+SAMPLE_PIECES = 5  # into which they are split, if the text is longer
 PIECE = 256
 LETTER = r"\p{L}"
 UNDECIDED = "und"
@@ -145,12 +147,26 @@ class CrossParser:
         return names, scores
 
 
+def _spread(chars: int, seed: str) -> Column:
+    """At most ``chars`` characters of ``text``, from its beginning to its end, with runs of other than letters as one blank."""
+    text = F.regexp_replace("text", f"[^{LETTER}]+", " ")
+    pieces = min(SAMPLE_PIECES, chars)
+    size, part = chars // pieces, F.floor(F.length(text) / pieces)
+    starts = [
+        F.lit(i) * part + F.floor(uniform(F.lit(seed), F.lit(i), F.col("doc_id"), F.xxhash64("text")) * (part - size + 1))
+        for i in range(pieces)
+    ]
+    taken = F.concat_ws(" ", *[F.substr(text, (s + 1).cast("int"), F.lit(size)) for s in starts])
+    return F.when(F.length(text) <= chars, text).otherwise(taken)
+
+
 def learn(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, seed: str = "language") -> CrossParser:
     """Fit on text and ``lang`` of documents that are not held out.
 
     Of each language about ``rows`` documents are taken, by a hash of the id (all, if there are
     fewer), and ``chars`` characters of each: the sample is bounded by the number of languages.
-    Rows without id, language or letters teach nothing.
+    The characters are counted with runs of anything but letters as one; of a longer text they are
+    pieces, one from each of equal parts of it, at places chosen by a hash.  Rows without id, language or letters teach nothing.
     """
     known = docs.where(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(LETTER)
@@ -161,7 +177,7 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, s
     share = F.element_at(F.create_map(*[F.lit(x) for l, n in counts.items() for x in (l, rows / n)]), F.col("lang"))
     mark = uniform(F.lit(seed), F.col("doc_id"))
     # Of a language with few rows every one is taken; of others a share that gives ``rows`` of them.
-    sample = known.where(mark < share).select("lang", mark.alias("mark"), "doc_id", F.substring("text", 1, chars).alias("text"))
+    sample = known.where(mark < share).select("lang", mark.alias("mark"), "doc_id", _spread(chars, seed).alias("text"))
     found: dict[str, list[str]] = {}
     for row in sorted(sample.collect(), key=lambda r: (-counts[r["lang"]], r["lang"], r["mark"], r["doc_id"], r["text"])):
         found.setdefault(row["lang"], []).append(row["text"])

@@ -69,6 +69,14 @@ def test_learns_from_labelled_rows_only(docs):
         assert (found[i]["lang_pred"], found[i]["score"]) == ("und", 0.0)
 
 
+def test_a_shared_header_does_not_hide_the_language(docs):
+    header = "0 " * 600 + "the cat and the dog run over the hill " * 40
+    rows = [(i, header + "le chat et le chien courent sur la colline " * 80, "fr", "s") for i in range(40)]
+    rows += [(100 + i, "the cat and the dog run over the hill " * 80, "en", "s") for i in range(60)]
+    model = language.learn(docs(*rows))
+    assert [r["lang_pred"] for r in language.predict(docs((1, "le chien et le chat")), model).collect()] == ["fr"]
+
+
 def test_nulls_empty_tables_and_clashing_names(clashing):
     frame = clashing(
         (1, "the cat", "en"), (1, "the cat", "en"), (2, None, "en"), (3, "", None), (None, "x", None), (4, LONG, "en"),
