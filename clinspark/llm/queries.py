@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clinspark.llm import (
     exact_dedup,
+    fill_middle,
     language,
     licenses,
     mixing,
@@ -174,3 +175,49 @@ def licenses_query(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_repeats")
 def repeats_query(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.passages(_table(spark, folder, "documents"))
+
+
+@query(
+    "op13_fill_middle",
+    r"""
+    with units as (
+        select doc_id, coalesce(text, '') as text, sha256('1:' || cast(doc_id as varchar)) as hex,
+               regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as unit
+        from documents
+    ),
+    drawn as (
+        select doc_id, text, unit, len(unit) as n,
+               ('0x' || substr(hex, 1, 8))::bigint % (len(unit) + 1) as one,
+               ('0x' || substr(hex, 9, 8))::bigint % (len(unit) + 1) as two,
+               case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+                         or ('0x' || substr(hex, 17, 8))::bigint % 100 >= 90 then 'plain'
+                    when ('0x' || substr(hex, 25, 8))::bigint % 100 < 20 then 'spm' else 'psm' end as form
+        from units
+    ),
+    parts as (
+        select doc_id, text, n, form,
+               array_to_string(unit[:least(one, two)], '') as prefix,
+               array_to_string(unit[least(one, two) + 1:greatest(one, two)], '') as middle,
+               array_to_string(unit[greatest(one, two) + 1:], '') as suffix
+        from drawn
+    )
+    select doc_id, n, form,
+           case when form <> 'plain' then length(prefix) end as prefix_chars,
+           case when form <> 'plain' then length(middle) end as middle_chars,
+           sha256(case form when 'plain' then text
+                            when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+           sha256(text) as restored_sha256
+    from parts
+    """,
+)
+def fill_middle_query(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.transform(_table(spark, folder, "documents")).select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output"), 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
