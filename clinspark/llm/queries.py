@@ -14,6 +14,7 @@ from clinspark.llm import (
     licenses,
     mixing,
     neighbours,
+    packing,
     pieces,
     quality_rules,
     repeats,
@@ -221,3 +222,10 @@ def fill_middle_query(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("output"), 256).alias("output_sha256"),
         F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
     )
+
+
+@query("op11_packing")
+def packing_query(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
