@@ -16,6 +16,7 @@ from clinspark.llm import (
     neighbours,
     packing,
     pieces,
+    prefix_trie,
     quality_rules,
     repeats,
     simhash,
@@ -229,3 +230,69 @@ def packing_query(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+# The checksum of a decimal number, bit by bit: DuckDB has no function for it.
+CRC32_SQL = """
+    xor(4294967295, list_reduce(
+        list_prepend(4294967295::ubigint, flatten(list_transform(string_split(conv_id::varchar, ''),
+            lambda c: [ascii(c)::ubigint + 4294967296, 0, 0, 0, 0, 0, 0, 0, 0]))),
+        lambda crc, step: case when step > 0 then xor(crc, step - 4294967296)
+                               else xor(crc >> 1, 3988292384 * (crc & 1)) end))
+"""
+
+
+@query(
+    "op12_prefix_trie",
+    f"""
+    with t as (
+        select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+               row_number() over (partition by conv_id order by turn nulls first,
+                   sha256(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))) as rank
+        from conversations where conv_id is not null
+    ),
+    convs as (
+        select conv_id, count(*) as turns, conv_id - conv_id % 100 as base, {CRC32_SQL} % 6 as h from t group by conv_id
+    ),
+    sized as (
+        select c.*, least(c.h, coalesce(b.turns, 0)) as shared from convs c left join convs b on c.base = b.conv_id
+    ),
+    rebuilt as (
+        select s.conv_id, cast(shared + rank - h as bigint) as depth, role, text
+        from sized s join t on t.conv_id = s.conv_id where rank > h
+        union all
+        select s.conv_id, rank, role, text from sized s join t on t.conv_id = s.base where rank <= h
+    ),
+    paths as (
+        select conv_id, depth, text,
+               sha256(string_agg(sha256(role || chr(31) || text), ',') over (partition by conv_id order by depth)) as key,
+               coalesce(sha256(string_agg(sha256(role || chr(31) || text), ',') over (
+                   partition by conv_id order by depth rows between unbounded preceding and 1 preceding)), '') as parent
+        from rebuilt
+        union all
+        select conv_id, 0, '', '', null from convs
+    ),
+    nodes as (
+        select key, min(parent) as parent, min(depth) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+               (count(*) - 1) * length(min(text)) as saved
+        from paths group by key
+    ),
+    family as (select parent as key, count(*) as n_children from nodes where parent is not null group by parent),
+    subtree as (
+        select p.key, sum(case when f.key is null then 1 else 0 end) as n_leaves, sum(n.saved) as saved_tokens
+        from nodes n join paths p on p.conv_id = n.conv_id and p.depth <= n.depth left join family f on f.key = n.key
+        group by p.key
+    ),
+    ends as (
+        select key, string_agg(conv_id::varchar, ',' order by conv_id) as ids
+        from paths p where depth = (select max(depth) from paths q where q.conv_id = p.conv_id) group by key
+    )
+    select n.conv_id, n.depth, u.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children,
+           cast(n_leaves as bigint) as n_leaves, cast(saved_tokens as bigint) as saved_tokens,
+           sha256(coalesce(ids, '')) as ends_sha256
+    from nodes n join subtree s on s.key = n.key left join nodes u on u.key = n.parent
+         left join family f on f.key = n.key left join ends e on e.key = n.key
+    """,
+)
+def prefix_trie_query(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, folder, "conversations"))
