@@ -459,11 +459,11 @@ oracle_view(
            case when upper(a.action) = 'APPROVE' then coalesce(case when a.selected_concept_id <> 0
                 then a.selected_concept_id end, d.proposed_concept_id, 0) end as cid,
            case when upper(a.action) = 'APPROVE' then 'APPROVED' else 'REJECTED' end as ns,
-           case when upper(a.action) not in ('APPROVE', 'REJECT') then 'action must be APPROVE or REJECT'
+           case when upper(a.action) not in ('APPROVE', 'REJECT') then 'neither an approval nor a rejection'
                 when trim(coalesce(a.reviewer, '')) = '' or trim(coalesce(a.reason, '')) = ''
-                    then 'reviewer and reason are required'
-                when d.mapping_decision_id is null then 'decision does not exist'
-                when d.decision_status in ('APPROVED', 'REJECTED') then concat('already ', d.decision_status) end
+                    then 'no reviewer or no reason'
+                when d.mapping_decision_id is null then 'no such decision'
+                when d.decision_status in ('APPROVED', 'REJECTED') then concat('settled before: ', d.decision_status) end
                 as early
     from {review_actions} a left join {decision} d on d.mapping_decision_id = a.mapping_decision_id""",
 )
@@ -471,13 +471,13 @@ oracle_view(
     "o_late",
     """
     select j.*, c.concept_name,
-           case when verb <> 'APPROVE' then null when cid = 0 then 'approval requires a concept'
-                when c.concept_name is null then 'concept does not exist'
+           case when verb <> 'APPROVE' then null when cid = 0 then 'nothing to approve: no concept'
+                when c.concept_name is null then 'concept is not in the vocabulary'
                 when coalesce(c.standard_concept, '') <> 'S' or coalesce(c.invalid_reason, '') <> ''
-                    then 'not a valid standard concept'
+                    then 'concept is not standard'
                 when c.domain_id <> case j.target_table when 'condition_occurrence' then 'Condition'
                                          when 'drug_exposure' then 'Drug' else 'Measurement' end
-                    then 'wrong domain' end as late
+                    then 'concept of another domain' end as late
     from {o_judged} j left join {concept} c on c.concept_id = j.cid""",
 )
 oracle_view(
@@ -485,7 +485,7 @@ oracle_view(
     """
     select l.seq, l.mapping_decision_id, l.verb as action, l.reviewer, l.reason, l.target_table, l.source_value,
            l.normalized_value, l.cid as concept_id, l.concept_name, l.ns,
-           coalesce(l.early, case when l.seq > s.first_seq then concat('already ', s.first_ns) end, l.late) as refusal
+           coalesce(l.early, case when l.seq > s.first_seq then concat('settled before: ', s.first_ns) end, l.late) as refusal
     from {o_late} l
     left join (select mapping_decision_id, min(seq) as first_seq, arg_min(ns, seq) as first_ns from {o_late}
                where early is null and late is null group by mapping_decision_id) s

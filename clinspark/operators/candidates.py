@@ -20,8 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clinspark.functions import text
-from clinspark.functions.similarity import token_sort_similarity
+from clinspark.functions import similarity, text
 from clinspark.operators.mapping import standard_concepts
 from clinspark.session import stage
 
@@ -144,23 +143,195 @@ def prefiltered(terms: DataFrame, concept: DataFrame, as_of: dt.date | str | Non
     )
 
 
-def _by_token(split: DataFrame, names: DataFrame) -> DataFrame:
-    """(term_id, concept_id) of all names that have a token of the term, with the number of shared
-    tokens (``total``) and of shared informative ones (``informative``)."""
+DIRECT = 256  # a term whose tokens have at most this many postings per wanted name is looked up in all of them
+
+
+def _indexed_names(names: DataFrame) -> DataFrame:
+    """Names with their distinct tokens and what similarity needs of them, each prepared once."""
+    return stage(
+        names.withColumn("name_ordered", similarity.sorted_words(F.lower("concept_name")))
+        .withColumn("name_tokens", F.array_distinct(text.clinical_tokens(F.col("concept_name"))))
+        .withColumn("name_masks", similarity.letter_masks(F.col("name_ordered")))
+        .withColumn("ordered_length", F.length("name_ordered").cast("bigint")),
+        "indexed-names",
+    )
+
+
+def _bound(own: Column, other: Column) -> Column:
+    """The highest similarity that texts of these lengths can have."""
+    return similarity.percent(F.least(own, other), own + other)
+
+
+def _search_terms(split: DataFrame, postings: DataFrame) -> DataFrame:
+    """Terms with the tokens that some name has, rarest first, and the number of their postings.
+
+    A token weighs 1, an informative one more than all tokens of the term together, so that the
+    summed weight of shared tokens ranks like (shared informative tokens, shared tokens).
+    """
     useful = text.informative_tokens(F.array_distinct("tokens"))
-    wanted = split.select(
-        "term_id", "domain_id", useful.alias("useful"), F.explode(F.array_distinct("tokens")).alias("token")
-    ).withColumn("useful", F.array_contains("useful", F.col("token")))
-    index = names.select(
-        "domain_id", "concept_id", F.explode(F.array_distinct(text.clinical_tokens(F.col("concept_name")))).alias("token")
+    wanted = split.withColumn("useful", useful).select(
+        "term_id",
+        "domain_id",
+        F.length("ordered").cast("bigint").alias("own_length"),
+        F.explode(F.array_distinct("tokens")).alias("token"),
+        F.size(F.array_distinct("tokens")).cast("bigint").alias("all_tokens"),
+        "useful",
+    )
+    weight = F.when(F.array_contains("useful", F.col("token")), F.col("all_tokens") + 1).otherwise(F.lit(0)) + 1
+    counts = postings.groupBy("domain_id", "token").agg(F.count(F.lit(1)).alias("names"))
+    found = F.struct("names", "token", weight.alias("weight"))
+    return stage(
+        wanted.join(counts, ["domain_id", "token"])
+        .groupBy("term_id", "domain_id", "own_length")
+        .agg(F.sum("names").alias("postings"), F.array_sort(F.collect_list(found)).alias("found")),
+        "search-terms",
+    )
+
+
+def _shared_weight(name_tokens: Column) -> Column:
+    shared = F.filter("found", lambda t: F.array_contains(name_tokens, t["token"]))
+    return F.aggregate(shared, F.lit(0).cast("bigint"), lambda total, t: total + t["weight"])
+
+
+def _similar(pairs: DataFrame, names: DataFrame, split: DataFrame) -> DataFrame:
+    """Pairs with their similarity and the columns of both sides that the ranking needs."""
+    own, other = F.length("ordered").cast("bigint"), F.col("ordered_length")
+    # The masks of either side serve; those of a text of one block are the fast ones.
+    by_term = similarity.common_length(F.col("masks"), own, similarity.letters(F.col("name_ordered")))
+    by_name = similarity.common_length(F.col("name_masks"), other, similarity.letters(F.col("ordered")))
+    common = F.when(F.size("masks") <= 1, by_term).otherwise(by_name)
+    return (
+        pairs.join(names.drop("domain_id", "lower_name", "name_tokens"), "concept_id")
+        .join(split.drop("words"), "term_id")
+        .withColumn("similarity", similarity.percent(common, own + other))
+        .drop("masks", "name_masks", "ordered", "name_ordered", "ordered_length")
+    )
+
+
+def _looked_up(search: DataFrame, postings: DataFrame) -> DataFrame:
+    """(term_id, concept_id, weight) of all names that share a token with these terms."""
+    return (
+        search.select("term_id", "domain_id", F.explode("found").alias("t"))
+        .select("term_id", "domain_id", F.col("t.token").alias("token"), F.col("t.weight").alias("weight"))
+        .join(postings.select("domain_id", "token", "concept_id"), ["domain_id", "token"])
+        .groupBy("term_id", "concept_id")
+        .agg(F.sum("weight").alias("weight"))
+    )
+
+
+def _by_length(search: DataFrame, postings: DataFrame) -> DataFrame:
+    """The terms' tokens with their numbers of postings for each length of the name."""
+    tokens = search.select("domain_id", F.explode("found").alias("t")).select("domain_id", F.col("t.token").alias("token"))
+    lengths = (
+        postings.join(tokens.distinct(), ["domain_id", "token"], "left_semi")
+        .groupBy("domain_id", "token", "ordered_length")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("domain_id", "token")
+        .agg(F.collect_list(F.struct("ordered_length", "n")).alias("lengths"))
+    )
+    rows = search.select("term_id", "domain_id", F.explode("found").alias("t"))
+    with_lengths = rows.withColumn("token", F.col("t.token")).join(lengths, ["domain_id", "token"])
+    found = F.struct("t.names", "t.token", "t.weight", "lengths")
+    lists = with_lengths.groupBy("term_id").agg(F.array_sort(F.collect_list(found)).alias("found"))
+    return stage(search.drop("found").join(lists, "term_id"), "frequent-terms")
+
+
+def _seeds(search: DataFrame, postings: DataFrame, k: int) -> DataFrame:
+    """For each term and token of it, at least ``k`` names with the token (or all), nearest in length first."""
+
+    def nearest(own: Column, lengths: Column) -> Column:
+        by_bound = F.array_sort(
+            F.transform(lengths, lambda x: F.struct(-_bound(own, x["ordered_length"]), x["ordered_length"], x["n"]))
+        )
+        few = F.slice(by_bound, 1, k)
+        before = lambda i: F.aggregate(F.slice(few, F.lit(1), i), F.lit(0).cast("bigint"), lambda s, x: s + x["n"])
+        return F.transform(F.filter(few, lambda x, i: before(i) < k), lambda x: x["ordered_length"])
+
+    asked = search.select("term_id", "domain_id", "own_length", "found", F.explode("found").alias("t")).select(
+        "term_id",
+        "domain_id",
+        "found",
+        F.col("t.token").alias("token"),
+        F.explode(nearest(F.col("own_length"), F.col("t.lengths"))).alias("ordered_length"),
+    )
+    key = ["domain_id", "token", "ordered_length"]
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("concept_id"))
+    heads = (
+        postings.join(asked.select(*key).distinct(), key, "left_semi").withColumn("_place", place).where(F.col("_place") <= k)
     )
     return (
-        wanted.join(index, ["domain_id", "token"])
+        asked.join(heads, key)
+        .select("term_id", "concept_id", _shared_weight(F.col("name_tokens")).alias("weight"))
         .groupBy("term_id", "concept_id")
-        .agg(F.count(F.lit(1)).alias("total"), F.sum(F.col("useful").cast("int")).alias("informative"))
+        .agg(F.max("weight").alias("weight"))
     )
 
 
+def _searched(frequent: DataFrame, postings: DataFrame, names: DataFrame, split: DataFrame, k: int) -> DataFrame:
+    """(term_id, concept_id, weight) of every name that can be among the ``k`` best of these terms.
+
+    The weight of the k-th best seed is the least that matters.  A name of at least a given
+    weight holds one of the term's rarest tokens, as the others together weigh less: so only
+    the postings of those tokens are read.  Names of the least weight itself matter only if
+    fewer than ``k`` weigh more; then the seeds of that weight give a least similarity, only
+    names whose length allows it are read, and those that have it are kept.  Terms with fewer than ``k`` seeds have them all.
+    """
+    search = _by_length(frequent, postings)
+    seeds = stage(_seeds(search, postings, k), "seeds")
+    result = ["term_id", "concept_id", "weight"]
+    heaviest = Window.partitionBy("term_id").orderBy(F.desc("weight"), "concept_id")
+    least = (
+        seeds.withColumn("_place", F.row_number().over(heaviest))
+        .where(F.col("_place") == k)
+        .select("term_id", F.col("weight").alias("least_weight"))
+    )
+    bounded = stage(search.join(least, "term_id"), "least-weights")
+    found, shared = F.col("found"), _shared_weight(F.col("name_tokens"))
+
+    def rarest(weight: Column) -> Column:
+        """Tokens that a name of that weight cannot do without."""
+        left = lambda i: F.aggregate(
+            F.slice(found, i + 1, F.size(found)), F.lit(0).cast("bigint"), lambda total, t: total + t["weight"]
+        )
+        return F.filter(found, lambda t, i: left(i) >= weight)
+
+    # A name with several of these tokens counts at the rarest.
+    first = F.get(F.filter(found, lambda t: F.array_contains(F.col("name_tokens"), t["token"])), F.lit(0))["token"]
+    columns = ["term_id", "domain_id", "found", "least_weight", "token"]
+    above = stage(
+        bounded.withColumn("token", F.explode(F.transform(rarest(F.col("least_weight") + 1), lambda t: t["token"])))
+        .select(*columns)
+        .join(postings.drop("ordered_length"), ["domain_id", "token"])
+        .where((shared > F.col("least_weight")) & (F.col("token") == first))
+        .select("term_id", "concept_id", shared.alias("weight")),
+        "heavier-names",
+    )
+    heavier = above.groupBy("term_id").agg(F.count(F.lit(1)).alias("n"))
+    tied = bounded.join(heavier, "term_id", "left").where(F.coalesce("n", F.lit(0)) < k)
+    tied = stage(tied.withColumn("room", k - F.coalesce("n", F.lit(0))).drop("n"), "tied-terms")
+    level_seeds = seeds.join(tied.select("term_id", "least_weight", "room"), "term_id").where("weight = least_weight")
+    similar = _similar(level_seeds.select("term_id", "concept_id", "room"), names, split)
+    closest = Window.partitionBy("term_id").orderBy(F.desc("similarity"), "concept_id")
+    least_similar = (
+        similar.withColumn("_place", F.row_number().over(closest))
+        .where(F.col("_place") == F.col("room"))
+        .select("term_id", F.col("similarity").alias("least_similarity"))
+    )
+    near = lambda x: _bound(F.col("own_length"), x["ordered_length"]) >= F.col("least_similarity")
+    level = (
+        tied.join(least_similar, "term_id")
+        .withColumn("t", F.explode(rarest(F.col("least_weight"))))
+        .withColumn("token", F.col("t.token"))
+        .withColumn("length", F.explode(F.filter("t.lengths", near)))
+        .select(*columns, "least_similarity", F.col("length.ordered_length").alias("ordered_length"))
+        .join(postings, ["domain_id", "token", "ordered_length"])
+        .where((shared == F.col("least_weight")) & (F.col("token") == first))
+        .select(*result[:2], shared.alias("weight"), "least_similarity")
+    )
+    level = _similar(level, names, split).where("similarity >= least_similarity").select(*result)
+    return above.unionByName(level).unionByName(seeds.join(least, "term_id", "left_anti").select(*result))
+
+
 def with_overlap(rows: DataFrame) -> DataFrame:
     """Add both overlaps of the name's tokens with the term's ``tokens``."""
     if "name_tokens" not in rows.columns:
@@ -176,32 +347,51 @@ def shortlist(
 ) -> DataFrame:
     """The ``k`` best candidates per (domain_id, source_value), best first (``position`` from 1).
 
-    Overlaps are counted through an inverted index of tokens.  A name that merely contains a
-    word has no overlap and comes after every name that shares a token, so letter groups are
-    searched only for terms with fewer than ``k`` names of the latter kind.  Similarity only
-    breaks ties: rows that the overlaps alone place behind the k-th are dropped before.
+    The search is exact and reads an inverted index of tokens.  Terms of rare tokens look all
+    their postings up, which are at most ``DIRECT`` times ``k``.  For the others a few names near in
+    length give a score that the k best reach, and only names that can reach it are read (see
+    ``_searched``).  Similarity is computed for names that the shared tokens leave among the
+    first ``k``, ties included.  A name that merely contains a word has no overlap and comes
+    after every name that shares a token, so letter groups are searched only for terms with
+    fewer than ``k`` names of the latter kind.
     """
-    split = _numbered(terms)
-    names = _names_of(split, concept, as_of)
-    shared = stage(_by_token(split, names), "token-hits")
+    ordered = _numbered(terms).withColumn("ordered", similarity.sorted_words(F.lower("source_value")))
+    split = stage(ordered.withColumn("masks", similarity.letter_masks(F.col("ordered"))), "terms")
+    names = _indexed_names(_names_of(split, concept, as_of))
+    postings = stage(
+        names.select("domain_id", F.explode("name_tokens").alias("token"), "ordered_length", "concept_id", "name_tokens"),
+        "postings",
+    )
+    search = _search_terms(split, postings)
+    few = F.col("postings") <= DIRECT * k
+    shared = _looked_up(search.where(few), postings)
+    frequent = search.where(~few)
+    if not frequent.isEmpty():
+        shared = shared.unionByName(_searched(frequent, postings, names, split, k))
+    by_weight = Window.partitionBy("term_id").orderBy(F.desc("weight"))
+    shared = stage(shared.withColumn("_rank", F.rank().over(by_weight)).where(F.col("_rank") <= k).drop("_rank"), "token-hits")
     served = shared.groupBy("term_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
     short = stage(split.join(served, "term_id", "left_anti"), "short-terms")
     loose = _words_of(short).join(
         containing(_words_of(short).select("domain_id", "word").distinct(), names), ["domain_id", "word"]
     )
+    # Terms with fewer than k names that share a token have all of them among the hits.
     loose = loose.select("term_id", "concept_id").distinct().join(shared, ["term_id", "concept_id"], "left_anti")
-    none = F.lit(0).cast("bigint")
-    pairs = shared.unionByName(loose.select("term_id", "concept_id", none.alias("total"), none.alias("informative")))
-
-    group = Window.partitionBy("term_id")
-    # Within a term both overlaps have fixed denominators, so counts rank like ratios.
-    by_overlap = group.orderBy(F.desc("informative"), F.desc("total"))
-    contenders = pairs.withColumn("_rank", F.rank().over(by_overlap)).where(F.col("_rank") <= k)
-    similar = _named(contenders, split, names).withColumn(
-        "similarity", token_sort_similarity(F.lower("source_value"), F.lower("concept_name"))
-    )
-    final = group.orderBy(F.desc("informative"), F.desc("total"), F.desc("similarity"), "name_length", *PLACE)
-    share = lambda n, of: F.col(n) / F.greatest(F.size(F.array_distinct(of)), F.lit(1))
+    pairs = shared.unionByName(loose.withColumn("weight", F.lit(0).cast("bigint")))
+
+    useful = text.informative_tokens(F.array_distinct("tokens"))
+    heavy = (F.size(F.array_distinct("tokens")) + 2).cast("bigint")  # the weight of an informative token
+    informative = F.floor(F.col("weight") / heavy)
+    total = informative + F.col("weight") - informative * heavy
+    without = F.when(F.contains("squashed_name", F.col("primary_word")), 0).otherwise(1)
+    similar = (
+        _similar(pairs, names, split)
+        .withColumn("without_primary", without)
+        .withColumn("name_length", F.length("concept_name"))
+    )
+    # The place of a candidate is (without the primary word, length, id).
+    final = Window.partitionBy("term_id").orderBy(F.desc("weight"), F.desc("similarity"), "name_length", *PLACE)
+    share = lambda n, of: n / F.greatest(F.size(of), F.lit(1))
     return (
         similar.withColumn("position", F.row_number().over(final))
         .where(F.col("position") <= k)
@@ -211,8 +401,8 @@ def shortlist(
             "position",
             "concept_id",
             "concept_name",
-            share("informative", text.informative_tokens(F.col("tokens"))).alias("informative_overlap"),
-            share("total", F.col("tokens")).alias("total_overlap"),
+            share(informative, useful).alias("informative_overlap"),
+            share(total, F.array_distinct("tokens")).alias("total_overlap"),
             "similarity",
         )
     )

@@ -119,4 +119,4 @@ def require_clean(report: DataFrame) -> None:
     subject = row.pop("subject")
     if any(row.values()):
         detail = "; ".join(f"{name.replace('_', ' ')}: {count}" for name, count in row.items())
-        raise ValueError(f"{subject} contract violation. {detail}.")
+        raise ValueError(f"{subject} does not keep its contract ({detail}).")

@@ -13,13 +13,14 @@ of a rule table, for the caller to write as the next snapshot.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clinspark.functions import text
 from clinspark.functions.numbers import lenient_id
 from clinspark.functions.similarity import confidence
 from clinspark.operators.candidates import gate_picks, shortlist
+from clinspark.operators.checks import count_if
 from clinspark.operators.ids import next_id, with_dense_ids
 from clinspark.operators.mapping import DEFAULT_VERSION, DOMAIN_OF, TARGETS, expected_domain, is_standard, orphan_terms
 from clinspark.session import stage
@@ -174,25 +175,69 @@ def record_decisions(
     rejected: DataFrame,
     created_at: Column,
     check: bool = True,
+    first_id: int | None = None,
 ) -> DataFrame:
     """Decisions to append for the proposals; a key recorded before is left alone.
 
-    The proposals are staged, so that what made them (candidate retrieval, for
-    one) runs once and not again for each check.
+    The proposals are grouped by key once: each group gives its lowest row and the range of its
+    concepts, and one join with the recorded decisions tells which keys are new and which
+    concepts differ.  That result is staged, and what is to be checked is counted while it is written, so
+    whatever made the proposals (candidate retrieval, for one) runs once.  ``first_id`` is the first
+    free id, if the caller knows it; else the recorded ids are read for it.
     """
-    normalized = stage(_normalized(proposals), "proposals")
+    normalized = _normalized(proposals)
+    # What the lowest row of a key is found by.
+    others = [
+        "source_value", "proposed_concept_id", "score", "model_name", "vocabulary_version", "prompt_version", "minimum_score"
+    ]
+    complete = F.lit(True)
+    for name in DECISION_KEY:
+        complete = complete & F.col(name).isNotNull()
+    # A null in the key never equals another one: such rows are groups of their own.
+    apart = F.when(~complete, F.monotonically_increasing_id())
+    grouped = (
+        normalized.withColumns({"score": F.col("score").cast("double"), "_apart": apart})
+        .groupBy(*DECISION_KEY, "_apart")
+        .agg(
+            F.min(F.struct(*others)).alias("row"),
+            F.min("proposed_concept_id").alias("_lowest"),
+            F.max("proposed_concept_id").alias("_highest"),
+        )
+        .select(*DECISION_KEY, "_lowest", "_highest", "row.*")
+    )
+    earlier = (
+        decisions.select(*DECISION_KEY, "proposed_concept_id")
+        .groupBy(*DECISION_KEY)
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.min("proposed_concept_id").alias("_first"),
+            F.max("proposed_concept_id").alias("_last"),
+        )
+    )
+    lowest, highest = F.least("_lowest", "_first"), F.greatest("_highest", "_last")
+    checked = Observation("proposals")
+    judged = stage(
+        grouped.join(earlier, DECISION_KEY, "left")
+        .withColumn("_known", F.col("_rows").isNotNull())
+        .observe(
+            checked,
+            count_if(lowest < highest, "conflicts"),
+            F.max(F.when(~F.col("target_table").isin(list(DOMAIN_OF)), F.col("target_table"))).alias("unsupported"),
+        )
+        .drop("_lowest", "_highest", "_first", "_last", "_rows"),
+        "proposals",
+    )
     if check:
-        bad = unsupported_tables(normalized).first()
-        if bad:
-            raise ValueError(f"Proposals cannot be made for {bad.target_table}")
-        if not _conflicts(normalized, decisions).isEmpty():
+        if checked.get["unsupported"]:
+            raise ValueError(f"Proposals cannot be made for {checked.get['unsupported']}")
+        if checked.get["conflicts"]:
             raise ValueError("Two concepts are proposed for one term of a run; proposal_conflicts lists them.")
-    rows = with_status(normalized, rejected).select(
+    rows = with_status(judged.where("not _known").drop("_known"), rejected).select(
         *DECISION_KEY,
         "source_value",
         "proposed_concept_id",
         F.lit(None).cast("bigint").alias("selected_concept_id"),
-        F.col("score").cast("double").alias("score"),
+        "score",
         "model_name",
         "vocabulary_version",
         "prompt_version",
@@ -201,10 +246,9 @@ def record_decisions(
         "reviewed_at",
         "review_reason",
     )
-    fresh = new_rows(rows, decisions, DECISION_KEY).withColumn("created_at", created_at.cast("timestamp_ntz"))
-    numbered = with_dense_ids(
-        fresh, "mapping_decision_id", DECISION_KEY, next_id(decisions, "mapping_decision_id")
-    )
+    fresh = rows.withColumn("created_at", created_at.cast("timestamp_ntz"))
+    first = next_id(decisions, "mapping_decision_id") if first_id is None else first_id
+    numbered = with_dense_ids(fresh, "mapping_decision_id", DECISION_KEY, first)
     return numbered.select(*empty(proposals.sparkSession, "decision").columns)
 
 
@@ -403,16 +447,16 @@ def review(actions: DataFrame, decisions: DataFrame, concept: DataFrame) -> Data
     blank = blank | (F.coalesce(text.blank_to_null(F.col("reason")), F.lit("")) == "")
     approving = verb == "APPROVE"
     early = (
-        F.when(~F.coalesce(verb.isin("APPROVE", "REJECT"), F.lit(False)), "action must be APPROVE or REJECT")
-        .when(blank, "reviewer and reason are required")
-        .when(F.col("decision_status").isNull(), "decision does not exist")
-        .when(F.col("decision_status").isin("APPROVED", "REJECTED"), F.concat(F.lit("already "), "decision_status"))
+        F.when(~F.coalesce(verb.isin("APPROVE", "REJECT"), F.lit(False)), "neither an approval nor a rejection")
+        .when(blank, "no reviewer or no reason")
+        .when(F.col("decision_status").isNull(), "no such decision")
+        .when(F.col("decision_status").isin("APPROVED", "REJECTED"), F.concat(F.lit("settled before: "), "decision_status"))
     )
     late = (
-        F.when(approving & (F.col("concept_id") == 0), "approval requires a concept")
-        .when(approving & F.col("concept_name").isNull(), "concept does not exist")
-        .when(approving & ~F.coalesce(is_standard(), F.lit(False)), "not a valid standard concept")
-        .when(approving & ~F.coalesce(F.col("domain_id") == expected_domain(), F.lit(False)), "wrong domain")
+        F.when(approving & (F.col("concept_id") == 0), "nothing to approve: no concept")
+        .when(approving & F.col("concept_name").isNull(), "concept is not in the vocabulary")
+        .when(approving & ~F.coalesce(is_standard(), F.lit(False)), "concept is not standard")
+        .when(approving & ~F.coalesce(F.col("domain_id") == expected_domain(), F.lit(False)), "concept of another domain")
     )
     judged = rows.withColumn("_early", early).withColumn("_late", late)
     judged = judged.withColumn("new_status", F.when(approving, "APPROVED").otherwise("REJECTED"))
@@ -423,7 +467,7 @@ def review(actions: DataFrame, decisions: DataFrame, concept: DataFrame) -> Data
         .agg(F.min(F.struct("seq", "new_status")).alias("_by"))
     )
     taken = F.col("_by").isNotNull() & (F.col("seq") > F.col("_by.seq"))
-    refusal = F.coalesce("_early", F.when(taken, F.concat(F.lit("already "), "_by.new_status")), "_late")
+    refusal = F.coalesce("_early", F.when(taken, F.concat(F.lit("settled before: "), "_by.new_status")), "_late")
     return judged.join(settled, "mapping_decision_id", "left").select(
         "seq",
         "mapping_decision_id",

@@ -1,8 +1,10 @@
 import datetime as dt
 import hashlib
 import math
+import random
 
 import pandas as pd
+import plain
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -167,33 +169,53 @@ def test_type_concepts(spark, frame):
 # --- similarity -----------------------------------------------------------------------------
 
 
-def _slow_common(a, b):
-    row = [0] * (len(b) + 1)
-    for x in a:
-        last = 0
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
-
-
-@settings(max_examples=200, deadline=None)
-@given(st.text("abc d", max_size=90), st.text("abc d", max_size=90))
-def test_common_subsequence_matches_the_textbook_one(a, b):
-    assert similarity._common(a, b) == _slow_common(a, b)
-
-
-def test_similarity_values():
-    assert similarity.sort_similarity("new york mets", "mets york new") == 100
-    assert similarity.sort_similarity("heart rate", "heart-rate") == 100
-    assert similarity.sort_similarity("abc", "xyz") == 0
-    assert similarity.set_similarity("fuzzy was a bear", "fuzzy fuzzy was a bear") == 100
-    assert similarity.set_similarity("", "x") == similarity.set_similarity("%", "x") == 0
-    assert similarity.match_confidence("Hypertension", "Essential hypertension") == 1.0
-    assert similarity.match_confidence("RR Duration", "R-R interval") == 0.38  # 2 * 4 / (11 + 10)
-    assert similarity.match_confidence(None, "x") == similarity.match_confidence("", "x") == 0.0
-
-
-def test_similarity_columns(frame):
-    df = frame("a string, b string", ("b a", "A B"), (None, "x"))
-    got = df.select(similarity.token_sort_similarity("a", "b"), similarity.confidence("a", "b")).collect()
-    assert [tuple(r) for r in got] == [(100, 1.0), (0, 0.0)]
+NAMES = [
+    "new york mets",
+    "mets york new",
+    "heart rate",
+    "heart-rate",
+    "Heart_Rate  (n)",
+    "fuzzy was a bear",
+    "fuzzy fuzzy was a bear",
+    "",
+    "%",
+    "x",
+    "Hypertension",
+    "Essential hypertension",
+    "RR Duration",
+    "R-R interval",
+    "caf\u00e9 \u03b2 \u6570\u5b57 \U0001f642 \u0130",
+    "abc" * 30,
+    "cab" * 41 + " d",
+    "a" * 62,
+    "a" * 63,
+    "ab" * 62 + " " + "ba" * 31,
+    None,
+]
+
+
+def test_similarity_of_all_pairs(spark, frame):
+    names = frame("a string", *[(n,) for n in NAMES])
+    pairs = names.join(names.toDF("b"), F.lit(True))
+    got = pairs.select(
+        "a", "b", similarity.token_sort_similarity(F.col("a"), F.col("b")), similarity.token_set_similarity(F.col("a"), F.col("b"))
+    ).collect()
+    assert len(got) == len(NAMES) ** 2
+    for a, b, ordered, as_sets in got:
+        assert (ordered, as_sets) == (plain.sort_similarity(a, b), plain.set_similarity(a, b)), (a, b)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_common_subsequence_matches_the_textbook_one(frame, seed):
+    rng = random.Random(seed)
+    texts = ["".join(rng.choice("abc d") for _ in range(rng.randrange(0, 200))) for _ in range(120)]
+    pairs = frame("a string, b string", *[(rng.choice(texts), rng.choice(texts)) for _ in range(300)])
+    for a, b, n in pairs.select("a", "b", similarity.common(F.col("a"), F.col("b"))).collect():
+        assert n == plain.common(a, b), (a, b)
+
+
+def test_confidence_values(frame):
+    rows = [("Hypertension", "Essential hypertension"), ("RR Duration", "R-R interval"), (None, "x"), ("", "x")]
+    df = frame("a string, b string", *rows)
+    got = [r[0] for r in df.select(similarity.confidence(F.col("a"), F.col("b"))).collect()]
+    assert got == [1.0, 0.38, 0.0, 0.0]  # 2 * 4 / (11 + 10)

@@ -2,9 +2,9 @@ import datetime as dt
 import random
 
 import pytest
+from plain import sort_similarity
 from pyspark.sql import functions as F
 
-from clinspark.functions import similarity
 from clinspark.operators import candidates, mapping, rules
 from clinspark.session import stage
 
@@ -147,15 +147,17 @@ def brute_shortlist(term, names):
         return (
             len(useful & found) / max(len(useful), 1),
             len(source & found) / max(len(source), 1),
-            similarity.sort_similarity(term.lower(), n[1].lower()),
+            sort_similarity(term.lower(), n[1].lower()),
             -len(n[1]),
         )
 
     return [n[0] for n in sorted(hits, key=rank, reverse=True)[:15]], [n[0] for n in hits]
 
 
-def test_candidates_against_brute_force(frame):
+@pytest.mark.parametrize("direct", [0, 2, 1000])
+def test_candidates_against_brute_force(frame, monkeypatch, direct):
     """More than 1000 names share one word, and all of them are candidates."""
+    monkeypatch.setattr(candidates, "DIRECT", direct)
     rng = random.Random(11)
     stems = ["serum", "blood", "heart", "rate", "level", "q-t", "ab", "5", "pressure", "pulse", "x", "test", "urine"]
     names = []
@@ -175,6 +177,37 @@ def test_candidates_against_brute_force(frame):
         assert final[term] == best, term
 
 
+def test_a_token_in_every_name_adds_few_rows(frame):
+    """Names that cannot be among the best of a term are not even paired with it."""
+    rng = random.Random(4)
+    names = [(i + 1, "common " + " ".join(rng.choice("abcdefgh") * rng.randint(2, 9) for _ in range(3))) for i in range(4000)]
+    vocabulary = frame(CONCEPT, *[concept(i, n, "Measurement") for i, n in names])
+    texts = ["common", "common " + names[7][1].split()[2], "common level", names[100][1]]
+    split = candidates._numbered(terms_of(frame, *texts, domain="Measurement")).withColumn(
+        "ordered", candidates.similarity.sorted_words(F.lower("source_value"))
+    )
+    split = stage(split.withColumn("masks", candidates.similarity.letter_masks(F.col("ordered"))), "terms")
+    indexed = candidates._indexed_names(candidates._names_of(split, vocabulary, TODAY))
+    postings = indexed.select(
+        "domain_id", F.explode("name_tokens").alias("token"), "ordered_length", "concept_id", "name_tokens"
+    )
+    search = candidates._search_terms(split, postings)
+    hits = candidates._searched(search, postings, indexed, split, 15)
+    assert search.count() == 4 and search.agg(F.sum("postings")).first()[0] > 16_000
+    assert hits.groupBy("term_id").count().agg(F.max("count")).first()[0] < 50 * 15
+    final = shortlist(frame, vocabulary, *texts)
+    for text in texts:
+        assert final[text] == brute_shortlist(text, names)[0], text
+
+
+def test_no_python_runs_in_retrieval(frame, capsys):
+    vocabulary = frame(CONCEPT, concept(1, "Serum glucose", "Measurement"), concept(2, "Blood glucose", "Measurement"))
+    found = candidates.shortlist(terms_of(frame, "glucose", domain="Measurement"), vocabulary, TODAY)
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "Python" not in plan and "Arrow" not in plan and "Window" in plan
+
+
 def test_picks_must_be_candidates(frame):
     offered = frame(
         "domain_id string, source_value string, concept_id long, concept_name string",
@@ -237,7 +270,7 @@ def test_review_gate(frame, store, vocabulary):
     first = record(frame, store, proposal("Hypertension"))["Hypertension"]
     assert (first.decision_status, first.mapping_decision_id) == ("PROPOSED", 1)
     got = act(frame, store, vocabulary, (1, "approve", "QC", "wrong domain", 4223659))
-    assert got[0].refusal == "wrong domain" and store["approved"].count() == 0
+    assert got[0].refusal == "concept of another domain" and store["approved"].count() == 0
     got = act(frame, store, vocabulary, (1, "reject", "QC Reviewer", "too specific"))
     assert got[0].new_status == "REJECTED"
 
@@ -267,17 +300,17 @@ def test_refusals(frame, store, vocabulary):
         (1, "reject", "QC", "x"),
     )
     assert [got[i].refusal for i in range(8)] == [
-        "action must be APPROVE or REJECT",
-        "reviewer and reason are required",
-        "reviewer and reason are required",
-        "decision does not exist",
-        "approval requires a concept",
-        "concept does not exist",
+        "neither an approval nor a rejection",
+        "no reviewer or no reason",
+        "no reviewer or no reason",
+        "no such decision",
+        "nothing to approve: no concept",
+        "concept is not in the vocabulary",
         None,
-        "already APPROVED",
+        "settled before: APPROVED",
     ]
     again = act(frame, store, vocabulary, (1, "reject", "QC", "x"))
-    assert again[0].refusal == "already APPROVED"
+    assert again[0].refusal == "settled before: APPROVED"
 
 
 def test_thresholds_conflicts_and_repeats(frame, store):
