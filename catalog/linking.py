@@ -39,6 +39,7 @@ def _by_day(visit_view: str) -> str:
 
 oracle_view("o_by_day", _by_day("o_visit"))
 oracle_view("o_by_day_clean", _by_day("o_visit_clean"))
+oracle_view("o_by_day_long", _by_day("o_visit_long"))
 
 
 def _events(v) -> dict[str, DataFrame]:
@@ -75,13 +76,35 @@ def link_visit_number(v):
 )
 def link_visit_interval(v):
     """Visits that cover each day on which a person has a drug exposure; visits last three days and overlap."""
-    cells = visits.visit_cells(domains.visit_occurrence(v.sv))
+    cells = stage(visits.visit_cells(domains.visit_occurrence(v.sv)), "visit-cells")
     found = visits.day_matches(_events(v)["drug_exposure"], cells, "drug_exposure_start_date")
     return found.select(
         "person_id", F.date_from_unix_date("day").alias("event_date"), "visit_count", "visit_occurrence_id"
     )
 
 
+@query(
+    "link_long_visits",
+    """select t as table_name, person_id, d as event_date, n::bigint as visit_count, first_id as visit_occurrence_id
+       from (select distinct t, person_id, d, n, first_id from {o_by_day_long}) x where n > 0""",
+)
+def link_long_visits(v):
+    """All tables against visits of 1 to 10000 days, many of which overlap."""
+    cells = stage(visits.visit_cells(domains.visit_occurrence(v.sv_long)), "visit-cells")
+    levels = visits.levels_of(cells)
+    parts = [
+        visits.day_matches(df, cells, visits.EVENT_DATES[name], levels).select(
+            F.lit(name).alias("table_name"),
+            "person_id",
+            F.date_from_unix_date("day").alias("event_date"),
+            "visit_count",
+            "visit_occurrence_id",
+        )
+        for name, df in _events(v).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "link_ambiguous",
     """select t as table_name, k, person_id, d as event_date, n::bigint as visit_count from {o_by_day} where n > 1""",
@@ -97,27 +120,51 @@ def link_ambiguous(v):
     return reduce(DataFrame.unionByName, parts)
 
 
+oracle_view(
+    "o_linked",
+    """
+    select t, k, person_id, d, case when n = 1 then first_id end as visit_occurrence_id from {o_by_day_clean}
+    union all
+    select e.t, e.k, e.person_id, e.d, v.visit_occurrence_id
+    from {o_events} e
+    left join {o_visit_clean} v on v.person_id = e.person_id and v.source_visit_num = e.num
+    where e.num is not null""",
+)
+
+
+def _linked(v) -> dict[str, DataFrame]:
+    return visits.link_visits(_events(v), domains.visit_occurrence(v.sv_clean))
+
+
 @query(
     "link_visits",
-    """select t as table_name, k, person_id, d as event_date, case when n = 1 then first_id end as visit_occurrence_id
-       from {o_by_day_clean}
-       union all
-       select e.t, e.k, e.person_id, e.d, v.visit_occurrence_id
-       from {o_events} e
-       left join {o_visit_clean} v on v.person_id = e.person_id and v.source_visit_num = e.num
-       where e.num is not null""",
+    """select t as table_name, visit_occurrence_id, count(*) as events, min(d) as first_day, max(d) as last_day,
+              min(split_part(k, ':', 2)::bigint) as first_key, max(split_part(k, ':', 2)::bigint) as last_key
+       from {o_linked} group by t, visit_occurrence_id""",
 )
 def link_visits(v):
-    visit = domains.visit_occurrence(v.sv_clean)
-    linked = visits.link_visits(_events(v), visit)
+    """All tables linked, summed up per visit; events without one are summed up together."""
+    number = F.split_part("k", F.lit(":"), F.lit(2)).cast("bigint")
     parts = [
-        df.select(
-            F.lit(name).alias("table_name"),
-            "k",
-            "person_id",
-            F.col(visits.EVENT_DATES[name]).alias("event_date"),
-            "visit_occurrence_id",
+        df.groupBy("visit_occurrence_id")
+        .agg(
+            F.count(F.lit(1)).alias("events"),
+            F.min(visits.EVENT_DATES[name]).alias("first_day"),
+            F.max(visits.EVENT_DATES[name]).alias("last_day"),
+            F.min(number).alias("first_key"),
+            F.max(number).alias("last_key"),
         )
-        for name, df in linked.items()
+        .withColumn("table_name", F.lit(name))
+        for name, df in _linked(v).items()
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def _register_links(table: str, name: str) -> None:
+    @query(name, "select k, visit_occurrence_id from {o_linked} where t = '" + table + "'")
+    def links(v):
+        return _linked(v)[table].select("k", "visit_occurrence_id")
+
+
+for _table in visits.EVENT_DATES:
+    _register_links(_table, "link_" + _table.partition("_")[0])

@@ -57,6 +57,7 @@ def _visit_view(source: str) -> str:
 
 oracle_view("o_visit", _visit_view("sv"))
 oracle_view("o_visit_clean", _visit_view("sv_clean"))
+oracle_view("o_visit_long", _visit_view("sv_long"))
 
 CONDITION_COLUMNS = """person_id, 0::bigint as condition_concept_id, 32809::bigint as condition_type_concept_id,
            cast(s as date) as condition_start_date, @stamp(s) as condition_start_datetime,

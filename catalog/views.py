@@ -57,6 +57,11 @@ VIEWS: dict[str, str] = {
         from {visit_days} v join {customer} c on c.c_custkey = v.o_custkey""",
     "sv_clean": """
         select USUBJID, VISITNUM, VISIT, SVSTDTC, SVSTDTC as SVENDTC from {sv}""",
+    "sv_long": """
+        select c.c_name as USUBJID, cast(v.rn as double) as VISITNUM, 'Stay' as VISIT, cast(v.d as string) as SVSTDTC,
+               cast(v.d + cast(case v.rn % 3 when 0 then v.rn % 7 when 1 then v.o_custkey * 37 % 300
+                               else v.o_custkey * 7919 % 10000 end as int) as string) as SVENDTC
+        from {visit_days} v join {customer} c on c.c_custkey = v.o_custkey""",
     "sv_dirty": """
         select c.c_name as USUBJID, cast(o.o_orderkey % 5 as double) as VISITNUM,
                case when o.o_orderkey % 7 = 0 then null else 'Visit' end as VISIT,

@@ -76,9 +76,20 @@ def test_interval_join_against_brute_force(frame):
         assert got.get(key) == ((len(hits), min(hits)) if hits else None)
 
 
-def test_long_visits_stay_small(frame):
-    century = frame(VISITS, (1, 1, D(1900, 1, 5), D(2000, 3, 7), 1.0))
-    assert visits.visit_cells(century).count() <= 126 + 100 * 366 / 64
+@pytest.mark.parametrize("days", [1, 2, 3, 64, 1000, 10_000, 36_586])
+def test_a_visit_is_few_cells_of_any_length(frame, days):
+    for first in range(-4, 4):
+        start = D(1970, 1, 1) + dt.timedelta(days=first)
+        rows = visits.visit_cells(frame(VISITS, (1, 1, start, start + dt.timedelta(days=days - 1), 1.0))).collect()
+        assert len(rows) <= 2 * days.bit_length()
+        covered = sorted(d for r in rows for d in range(r.cell << r.level, r.cell + 1 << r.level))
+        assert covered == list(range(first, first + days))
+
+
+def test_cells_of_all_of_the_calendar(frame):
+    ages = frame(VISITS, (1, 1, D(1, 1, 1), D(9999, 12, 31), 1.0))
+    assert sum(1 << r.level for r in visits.visit_cells(ages).collect()) == (D(9999, 12, 31) - D(1, 1, 1)).days + 1
+    assert visits.levels_of(visits.visit_cells(ages.where("false"))) == []
 
 
 def test_containment_against_brute_force(frame):
@@ -102,3 +113,26 @@ def test_containment_against_brute_force(frame):
     ]
     assert found.agg(F.sum("n_visits")).first()[0] == len(outside)
     assert {(r.person_id, r.visit_start_date, r.visit_end_date) for r in found.collect()} == set(outside)
+
+
+def test_containment_of_a_person_with_very_many_spans(frame):
+    """Spans over decades: the latest end is carried over blocks and groups of blocks."""
+    rng = random.Random(5)
+    base = D(1950, 1, 1)
+
+    def span(longest):
+        start = base + dt.timedelta(days=rng.randint(0, 30_000))
+        return 1, start, start + dt.timedelta(days=rng.randint(0, longest))
+
+    periods = [span(rng.choice([30, 400, 9000])) for _ in range(40)]
+    spans = list({span(rng.choice([2, 200, 5000])) for _ in range(900)}) + [(None, base, base), (1, None, base), (1, base, None)]
+    visit = "person_id long, visit_start_date date, visit_end_date date"
+    found = acceptance.visits_outside_periods(
+        frame(visit, *spans),
+        frame("person_id long, observation_period_start_date date, observation_period_end_date date", *periods),
+        busy_spans=100,
+    )
+    whole = [v for v in spans if None not in v]
+    outside = {v for v in whole if not any(p[1] <= v[1] and v[2] <= p[2] for p in periods)}
+    got = {(r.person_id, r.visit_start_date, r.visit_end_date) for r in found.collect()}
+    assert got == outside | {v for v in spans if None in v}
