@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import oracle_view, query
 from catalog.views import AS_OF
+from clinspark.contracts import schema_differences
 from clinspark.operators import acceptance, domains, visits
 from clinspark.plans import study
 from clinspark.session import stage_path
@@ -355,3 +356,55 @@ def acceptance_report(v):
     study.run_study(delivery, concept, v.rel, root, "RUN-1", as_of=AS_OF, provenance_path=audit)
     publication.publish_vocabulary(concept, v.rel, root)  # another set below the same root
     return publication.acceptance_report(v.spark, root, concept, AS_OF)
+
+
+@query(
+    "schema_differences",
+    """select 'person' as table_name, column_name, what, expected, received, n_rows
+       from (values ('gender_concept_id', 'type', 'bigint', 'string'),
+                    ('person_id', 'primary key', 'True', 'False'),
+                    ('person_id', 'required', 'True', 'False'),
+                    ('race_concept_id', 'references', 'concept', ''),
+                    ('year_of_birth', 'column', 'present', 'absent'),
+                    ('born', 'column', 'absent', 'present')) x (column_name, what, expected, received),
+            (select count(*) as n_rows from {dm}) n""",
+)
+def schema_differences_query(v):
+    """What a written table has otherwise than agreed: each kind of difference, and the rows concerned."""
+    people = acceptance.conform(domains.person(v.dm), "person")
+    declared = {f.name: f.metadata for f in people.schema}
+    undeclared = {"person_id": {}, "race_concept_id": {**declared["race_concept_id"], "references": ""}}
+    turned = people.select(
+        *[F.col(c).alias(c, metadata=undeclared[c]) if c in undeclared else F.col(c) for c in people.columns]
+    )
+    text = F.col("gender_concept_id").cast("string").alias("gender_concept_id", metadata=declared["gender_concept_id"])
+    turned = turned.withColumnRenamed("year_of_birth", "born")
+    turned = turned.select(*[text if c == "gender_concept_id" else F.col(c) for c in turned.columns])
+    path = stage_path(v.spark, "people")
+    turned.write.parquet(path)
+    read = v.spark.read.parquet(path)
+    names = ["table_name", "column_name", "what", "expected", "received"]
+    found = [
+        F.struct(*[F.lit(value).alias(name) for name, value in zip(names, row, strict=True)])
+        for row in schema_differences(read, "person")
+    ]
+    rows = read.agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.select("n_rows", F.explode(F.array(*found)).alias("d")).select("d.*", "n_rows")
+
+
+@query(
+    "lost_source_values",
+    """select 'drug_exposure' as table_name, 'drug_source_concept_id' as column_name, count(*) as n_rows from {o_drug_rows}
+       union all select 'measurement', 'unit_source_value', count(*) from {o_measurement_rows}
+       union all select 'measurement', 'value_source_value', count(*) from {o_measurement_rows}""",
+)
+def lost_source_values(v):
+    """Columns that keep source values and were lost on the way, with the rows that lose a value."""
+    tables = {
+        "condition_occurrence": domains.condition_occurrence(v.ae, v.mh, ids=False, check=False),
+        "drug_exposure": domains.drug_exposure(v.ex, v.cm, ids=False).drop("drug_source_concept_id"),
+        "measurement": domains.measurement(v.lb, v.vs, v.eg, ids=False, check=False).drop(
+            "unit_source_value", "value_source_value"
+        ),
+    }
+    return acceptance.lost_source_values(tables)

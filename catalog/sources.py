@@ -71,18 +71,36 @@ def vocabulary_columns(v):
     return read_vocabulary(v.spark, "concept_relationship", path)
 
 
+MANIFEST_RANGE = 1 << 14
+
+
 @query(
     "input_manifest",
-    """select sum(length(r_name) + 1)::bigint as size_bytes, sha256(string_agg(r_name || chr(10), '' order by r_name)) as sha256,
-              false as missing from {region}
-       union all select null, null, true""",
+    f"""with lines as (
+           select o_orderkey % 16 as part, string_agg(o_orderkey || '|' || o_custkey || '|' || o_orderpriority || chr(10), ''
+                                                      order by o_orderkey) as content
+           from {{orders}} group by part),
+         parts as (
+           select length(content) as size, content,
+                  cast(ceil(length(content) / {MANIFEST_RANGE}.0) as bigint) as ranges
+           from lines)
+       select size::bigint as size_bytes, ranges, false as missing,
+              case when ranges = 1 then sha256(content)
+                   else sha256(array_to_string(list_transform(range(0, ranges),
+                            lambda i: sha256(substr(content, i * {MANIFEST_RANGE} + 1, {MANIFEST_RANGE}))), '')) end as sha256
+       from parts
+       union all select null, null, true, null""",
 )
 def manifest(v):
-    """One delivered file, hashed, and one that is not there."""
+    """Delivered files, hashed by ranges, and one that is not there."""
     folder = stage_path(v.spark, "manifest")
-    v.region.select("r_name").orderBy("r_name").coalesce(1).write.text(folder)
-    found = input_manifest(v.spark, [folder, f"{folder}-absent"])
-    return found.select("size_bytes", "sha256", "missing")
+    line = F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderpriority")
+    lines = v.orders.select((F.col("o_orderkey") % 16).alias("part"), "o_orderkey", line.alias("value"))
+    lines.repartition("part").sortWithinPartitions("part", "o_orderkey").select("part", "value").write.option(
+        "maxRecordsPerFile", 0
+    ).partitionBy("part").text(folder)
+    found = input_manifest(v.spark, [f"{folder}/part=*", f"{folder}-absent"], range_bytes=MANIFEST_RANGE)
+    return found.select("size_bytes", "ranges", "missing", "sha256")
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,29 +87,112 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         writer.format(fmt).save(path)
 
 
-def input_manifest(spark: SparkSession, paths: list[str], with_hash: bool = True) -> DataFrame:
+RANGE_BYTES = 64 << 20
+
+
+def _range_digests(ranges: DataFrame) -> DataFrame:
+    """SHA-256 of each (path, offset, size) of a file, read by its own task in small pieces."""
+
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for path, offset, size in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                # A local path has one slash behind its scheme, and may hold signs that a URI cannot.
+                local = path.removeprefix("file:") if path.startswith("file:") else None
+                store, name = (fs.LocalFileSystem(), local) if local else fs.FileSystem.from_uri(path)
+                digest, left = hashlib.sha256(), size
+                with store.open_input_file(name) as file:
+                    file.seek(offset)
+                    while left and (piece := file.read(min(left, 1 << 20))):
+                        digest.update(piece)
+                        left -= len(piece)
+                found.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], ["path", "offset", "digest"])
+
+    columns = ranges.select("path", "offset", "size")
+    return columns.repartition("path", "offset").mapInArrow(run, "path string, offset long, digest string")
+
+
+def _digests(files: DataFrame, range_bytes: int) -> DataFrame:
+    """(path, sha256) of files of any size.
+
+    A file of up to ``range_bytes`` is hashed by Spark's own reader.  Of a larger one every range
+    of that size is hashed by a task of its own, and the digest is that of the hexadecimal digests
+    of its ranges, one behind the other.
+    """
+    small = files.where(F.col("length") <= range_bytes).select("path", F.sha2("content", 256).alias("sha256"))
+    offsets = F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(range_bytes).cast("bigint"))
+    ranges = (
+        files.where(F.col("length") > range_bytes)
+        .select("path", "length", F.explode(offsets).alias("offset"))
+        .withColumn("size", F.least(F.lit(range_bytes), F.col("length") - F.col("offset")))
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("offset", "digest")))  # one per range of a file
+    large = (
+        _range_digests(ranges)
+        .groupBy("path")
+        .agg(F.sha2(F.array_join(F.transform(ordered, lambda r: r["digest"]), ""), 256).alias("sha256"))
+    )
+    return small.unionByName(large)
+
+
+def _empty_files(fs, found) -> list[tuple]:
+    """(path, modified at) of files without a byte, which Spark's reader leaves out."""
+    empty = []
+    for status in found:
+        inside = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+        for file in inside:
+            path = file.getPath()
+            if not file.isDirectory() and file.getLen() == 0 and path.getName()[:1] not in "_.":
+                empty.append((path.toString(), dt.datetime.fromtimestamp(file.getModificationTime() / 1000, dt.timezone.utc)))
+    return empty
+
+
+def input_manifest(
+    spark: SparkSession, paths: list[str], with_hash: bool = True, range_bytes: int = RANGE_BYTES
+) -> DataFrame:
     """Path, size, modification time and SHA-256 of each file; absent paths are marked missing.
 
-    Without the hash, file contents are not read.  Files are hashed in parallel, one task each.
+    ``ranges`` tells in how many parts the digest was taken: it is the plain one if there is one
+    part, and else a digest of digests (see ``_digests``).  Without the hash, no file is read.
     """
     found = None
-    absent = []
+    absent, empty = [], []
     for path in paths:
-        try:
-            files = spark.read.format("binaryFile").load(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        statuses = fs.globStatus(place)
+        if not statuses:
             absent.append((path,))
             continue
-        digest = F.sha2("content", 256) if with_hash else F.lit(None).cast("string")
+        empty += _empty_files(fs, statuses)
+        files = spark.read.format("binaryFile").load(path)
         rows = files.select(
             "path",
             F.col("length").alias("size_bytes"),
             F.col("modificationTime").alias("modified_at"),
-            digest.alias("sha256"),
+            F.greatest(F.ceil(F.col("length") / range_bytes), F.lit(1)).cast("bigint").alias("ranges"),
             F.lit(False).alias("missing"),
         )
+        if with_hash:
+            rows = rows.join(_digests(files, range_bytes), "path", "left")
+        else:
+            rows = rows.withColumn("sha256", F.lit(None).cast("string"))
         found = rows if found is None else found.unionByName(rows)
     gone = spark.createDataFrame(absent, "path string").select("path", F.lit(True).alias("missing"))
+    if empty:
+        nothing = spark.createDataFrame(empty, "path string, modified_at timestamp").select(
+            "path",
+            F.lit(0).cast("bigint").alias("size_bytes"),
+            "modified_at",
+            F.lit(1).cast("bigint").alias("ranges"),
+            F.lit(False).alias("missing"),
+            (F.sha2(F.lit(""), 256) if with_hash else F.lit(None).cast("string")).alias("sha256"),
+        )
+        found = found.unionByName(nothing)
     return gone if found is None else found.unionByName(gone, allowMissingColumns=True)

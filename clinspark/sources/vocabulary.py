@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clinspark.contracts import CONTRACTS, missing_columns
+from clinspark.contracts import CONTRACTS, missing_columns, schema_of
 from clinspark.functions.dates import vocabulary_date
 
 
@@ -26,7 +26,7 @@ def read_vocabulary(spark: SparkSession, table: str, path: str) -> DataFrame:
     missing = missing_columns(raw, [f.name for f in CONTRACTS[table]])
     if missing:
         raise ValueError(f"{table} file is missing fields: " + ", ".join(missing))
-    columns = []
+    columns, declared = [], schema_of(table)
     for field in CONTRACTS[table]:
         text = F.nullif(F.trim(F.col(field.name)), F.lit(""))
         if isinstance(field.spark_type, T.StringType):
@@ -35,7 +35,7 @@ def read_vocabulary(spark: SparkSession, table: str, path: str) -> DataFrame:
             value = vocabulary_date(text)
         else:
             value = text.cast(field.spark_type)
-        columns.append(value.alias(field.name))
+        columns.append(value.alias(field.name, metadata=declared[field.name].metadata))
     return raw.select(columns)
 
 

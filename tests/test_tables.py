@@ -252,6 +252,29 @@ def test_manifest(spark, tmp_path):
     assert light.sha256 is None and light.size_bytes == 3
 
 
+def test_manifest_of_files_in_many_ranges(spark, tmp_path):
+    import hashlib
+
+    content = {"a b.bin": bytes(range(256)) * 40, "even.bin": b"x" * 4096, "small.bin": b"y" * 1000, "none.bin": b""}
+    for name, data in content.items():
+        (tmp_path / name).write_bytes(data)
+    found = files.input_manifest(spark, [f"{tmp_path}/*.bin"], range_bytes=1024).collect()
+    got = {r.path.rpartition("/")[2]: (r.size_bytes, r.ranges, r.sha256) for r in found}
+    for name, data in content.items():
+        parts = [hashlib.sha256(data[i : i + 1024]).hexdigest() for i in range(0, len(data), 1024)]
+        whole = hashlib.sha256(data).hexdigest() if len(parts) < 2 else hashlib.sha256("".join(parts).encode()).hexdigest()
+        assert got[name] == (len(data), max(len(parts), 1), whole)
+
+
+def test_manifest_of_a_file_larger_than_a_row(spark, tmp_path):
+    """Three gigabytes, none of them on the disk."""
+    path = tmp_path / "large.bin"
+    with path.open("wb") as file:
+        file.truncate(3 << 30)
+    row = files.input_manifest(spark, [str(path)]).first()
+    assert (row.size_bytes, row.ranges) == (3 << 30, 48) and len(row.sha256) == 64
+
+
 def test_vocabulary_files(spark, frame, tmp_path):
     path = tmp_path / "CONCEPT.csv"
     names = contracts.columns_of("concept")
