@@ -148,11 +148,12 @@ def record_decisions(v):
 
 @query(
     "record_again",
-    "select count(*) as new_decisions from {decision} where false",
+    "select count(*) as new_decisions from {ord} where o_orderkey % 3 = 0",
 )
 def record_again(v):
-    """Proposals whose key was recorded before add nothing."""
-    again = rules.record_decisions(proposals(v, "'llm_zero_shot'"), v.decision, v.rejected, now())
+    """Proposals whose key was recorded before add nothing; a third are made by another method and are new."""
+    method = "case when o_orderkey % 3 = 0 then 'second_pass' else 'llm_zero_shot' end"
+    again = rules.record_decisions(proposals(v, method), v.decision, v.rejected, now())
     return again.agg(F.count(F.lit(1)).alias("new_decisions"))
 
 
@@ -194,18 +195,15 @@ def active_rule(v):
     return rules.active_rules(terms, v.approved, v.rejected).drop("source_value")
 
 
-def drug_replies(v):
-    """An answer for every drug term: the name of its length-th candidate concept."""
-    terms = all_terms(v).where("target_table = 'drug_exposure'")
-    found = candidates.prefiltered(terms, v.concept, AS_OF)
+def replies_for(v, table: str):
+    """An answer for every term of a table: its candidate concept with the highest id."""
+    found = candidates.prefiltered(all_terms(v).where(F.col("target_table") == table), v.concept, AS_OF)
     text = """select domain_id, source_value, concat('ID ', cast(max(concept_id) as string)) as reply
               from {found} group by domain_id, source_value"""
     return v.spark.sql(text, found=found)
 
 
-@query(
-    "propose",
-    """select 'RUN-9' as run_id, t.target_table, t.source_value, 'model-b' as model_name,
+PROPOSE = """select 'RUN-9' as run_id, t.target_table, t.source_value, 'model-b' as model_name,
               case when r.rejected_by is not null then 0 else coalesce(s.concept_id, 0) end::bigint
                   as proposed_concept_id
        from {o_terms} t
@@ -218,16 +216,26 @@ def drug_replies(v):
             on p.domain_id = t.domain_id and p.source_value = t.source_value
        left join {o_shortlist} s on s.domain_id = t.domain_id and s.source_value = t.source_value
             and s.concept_id = p.pick
-       where t.target_table = 'drug_exposure' and a.concept_id is null""",
-)
-def propose(v):
-    """Terms of unmapped drugs: rules first, then candidates, gate and score."""
-    drugs = domains.drug_exposure(v.ex, v.cm, ids=False)
-    found = rules.propose(
-        drugs, "drug_exposure", v.concept, drug_replies(v), v.term_approved, v.term_rejected, "RUN-9", "model-b",
-        as_of=AS_OF,
+       where t.target_table = 'TABLE' and a.concept_id is null"""
+
+
+def _proposed(v, table: str):
+    """Unmapped terms of a table: rules first, then candidates, gate and score."""
+    return rules.propose(
+        patient_tables(v, ids=False)[table], table, v.concept, replies_for(v, table), v.term_approved, v.term_rejected,
+        "RUN-9", "model-b", as_of=AS_OF,
     )
-    return found.select("run_id", "target_table", "source_value", "model_name", "proposed_concept_id")
+
+
+def _register_propose(name: str, table: str) -> None:
+    @query(name, PROPOSE.replace("TABLE", table))
+    def propose(v):
+        return _proposed(v, table).select("run_id", "target_table", "source_value", "model_name", "proposed_concept_id")
+
+
+_register_propose("propose", "drug_exposure")
+_register_propose("propose_condition", "condition_occurrence")
+_register_propose("propose_measurement", "measurement")
 
 
 oracle_view(
@@ -267,12 +275,7 @@ oracle_view("o_scored_pairs", "select * from {o_drug_proposals} where concept_id
 )
 def proposal_scores(v):
     """The scores of ``propose``, by status."""
-    drugs = domains.drug_exposure(v.ex, v.cm, ids=False)
-    found = rules.propose(
-        drugs, "drug_exposure", v.concept, drug_replies(v), v.term_approved, v.term_rejected, "RUN-9", "model-b",
-        as_of=AS_OF,
-    )
-    recorded = rules.record_decisions(found, v.decision, v.term_rejected, now())
+    recorded = rules.record_decisions(_proposed(v, "drug_exposure"), v.decision, v.term_rejected, now())
     return recorded.groupBy("decision_status").agg(
         F.count(F.lit(1)).alias("terms"), F.round(F.avg("score"), 4).alias("mean_score")
     )

@@ -138,7 +138,7 @@ VIEWS: dict[str, str] = {
                cast(d + l_linenumber as string) as CMSTDTC,
                case when l_linenumber % 3 = 0 then 'ongoing' else cast(d + l_linenumber + 5 as string) end as CMENDTC,
                seq as CMSEQ, q as CMDOSE
-        from {dosing} where l_suppkey % 2 = 0""",
+        from {dosing}""",
     "part_concept": """
         select 2000000000 + p_partkey as concept_id,
                case p_partkey % 4 when 0 then upper(p_name) when 1 then p_name
@@ -249,13 +249,15 @@ VIEWS: dict[str, str] = {
         select target_table, max(source_value) as source_value, normalized_value,
                2000000000 + max(t) % (select count(*) from {part}) as concept_id,
                min(mapping_decision_id) as source_decision_id, 'Ann' as approved_by, 'fits' as approval_reason,
-               cast(max(d) as timestamp) as approved_at, max(t) % 5 <> 0 as active, cast(max(d) as timestamp) as updated_at
-        from {decision_base} where t % 18 = 0 group by target_table, normalized_value""",
+               cast(max(d) as timestamp) as approved_at, max(t) % 18 = 0 and max(t) % 5 <> 0 as active,
+               cast(max(d) as timestamp) as updated_at
+        from {decision_base} group by target_table, normalized_value""",
     "rejected": """
         select target_table, max(source_value) as source_value, normalized_value,
                max(mapping_decision_id) as source_decision_id, 'Ben' as rejected_by, 'too specific' as rejection_reason,
-               cast(max(d) as timestamp) as rejected_at, max(t) % 7 <> 0 as active, cast(max(d) as timestamp) as updated_at
-        from {decision_base} where t % 24 = 0 group by target_table, normalized_value""",
+               cast(max(d) as timestamp) as rejected_at, max(t) % 24 = 0 and max(t) % 7 <> 0 as active,
+               cast(max(d) as timestamp) as updated_at
+        from {decision_base} group by target_table, normalized_value""",
     "actions": """
         select o_orderkey as seq, o_orderkey % ((select count(*) from {orders}) / 2 + 5) as raw_id,
                o_orderkey, o_custkey
@@ -293,18 +295,17 @@ VIEWS: dict[str, str] = {
     "term_approved": """
         select b.target_table, b.source_value, b.normalized_value, c.concept_id,
                b.mapping_decision_id as source_decision_id, 'Ann' as approved_by, 'fits' as approval_reason,
-               length(b.name) % 5 <> 0 as active
+               length(b.name) % 2 = 0 and length(b.name) % 5 <> 0 as active
         from {term_decision_base} b
         join (select domain_id, min(concept_id) as concept_id from {part_concept}
               where standard_concept = 'S' and (invalid_reason is null or invalid_reason = '')
               group by domain_id) c
-          on c.domain_id = case b.i when 0 then 'Condition' when 1 then 'Drug' else 'Measurement' end
-        where length(b.name) % 2 = 0""",
+          on c.domain_id = case b.i when 0 then 'Condition' when 1 then 'Drug' else 'Measurement' end""",
     "term_rejected": """
         select target_table, source_value, normalized_value, mapping_decision_id as source_decision_id,
                'Ben' as rejected_by, 'too specific' as rejection_reason,
-               timestamp '2023-05-01 10:00:00' as rejected_at, length(name) % 4 <> 0 as active
-        from {term_decision_base} where length(name) % 3 = 0""",
+               timestamp '2023-05-01 10:00:00' as rejected_at, length(name) % 3 = 0 and length(name) % 4 <> 0 as active
+        from {term_decision_base}""",
     "prov_base": """
         select l_orderkey, l_partkey, l_suppkey, l_linenumber,
                case l_linenumber % 3 when 0 then 'condition_occurrence' when 1 then 'drug_exposure'

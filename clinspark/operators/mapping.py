@@ -202,14 +202,23 @@ def map_tables(
     run_id: str,
     as_of: dt.date | str | None = None,
     vocabulary_version: str = DEFAULT_VERSION,
+    written: dict[str, DataFrame] | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
-    """Map the terms of all target tables at once: (tables, provenance, mapped terms)."""
+    """Map the terms of all target tables at once: (tables, provenance, mapped terms).
+
+    ``written`` may hold the same rows with more columns filled in: then those are returned mapped,
+    and terms and audit rows are read from ``tables``, without whatever fills the other columns.
+    """
     targets = [TARGETS[name] for name in tables if name in TARGETS]
     terms = reduce(DataFrame.unionByName, [orphan_terms(tables[t.table], t) for t in targets])
     mapped = stage(map_terms(terms, concept, relationship, as_of), "mapped-terms")
     audit = [provenance_of_terms(tables[t.table], t, mapped, run_id, vocabulary_version) for t in targets]
-    done = {t.table: apply_terms(tables[t.table], t, mapped) for t in targets}
-    return {**tables, **done}, reduce(DataFrame.unionByName, audit), mapped
+    return apply_mapped(written or tables, mapped), reduce(DataFrame.unionByName, audit), mapped
+
+
+def apply_mapped(tables: dict[str, DataFrame], mapped: DataFrame) -> dict[str, DataFrame]:
+    """``apply_terms`` to all target tables."""
+    return {name: apply_terms(df, TARGETS[name], mapped) if name in TARGETS else df for name, df in tables.items()}
 
 
 def mapping_coverage(mapped: DataFrame) -> DataFrame:
@@ -327,11 +336,13 @@ def apply_approved_tables(
     decisions: DataFrame,
     concept: DataFrame,
     run_id: str,
+    written: dict[str, DataFrame] | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Apply active approvals to all target tables: (tables, provenance)."""
+    """Apply active approvals to all target tables: (tables, provenance).  ``written`` as in ``map_tables``."""
     approvals = stage(active_approvals(approved, decisions, concept), "approvals")
     require_usable(approvals)
     targets = [TARGETS[name] for name in tables if name in TARGETS]
     audit = [provenance_of_approvals(tables[t.table], t, approvals, run_id) for t in targets]
-    done = {t.table: apply_approvals(tables[t.table], t, approvals) for t in targets}
-    return {**tables, **done}, reduce(DataFrame.unionByName, audit)
+    changed = written or tables
+    done = {t.table: apply_approvals(changed[t.table], t, approvals) for t in targets}
+    return {**changed, **done}, reduce(DataFrame.unionByName, audit)

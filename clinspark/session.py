@@ -56,7 +56,7 @@ def local_session(
 
 def stage_root(spark: SparkSession) -> str:
     """Folder for this application's stages: below ``spark.checkpoint.dir`` or, where that is unset,
-    below the warehouse.  Executors reach either, whatever the master is."""
+    below the warehouse.  On a cluster one of both has to be a folder that driver and executors share."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/stages"
     return f"{configured.rstrip('/')}/clinspark-{spark.sparkContext.applicationId}"
 
