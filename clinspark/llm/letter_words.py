@@ -20,11 +20,12 @@ class ByteModel:
 
         self.model = tokenizer.model
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        shown = [chr(c) for c in (32, *range(0xC0, 0x100))]
-        self.byte_names = str.maketrans({c: as_bytes.pre_tokenize_str(c)[0][0] for c in shown})
+        name = lambda c: as_bytes.pre_tokenize_str(c)[0][0]
+        self.space = name(" ")
+        self.byte_names = str.maketrans({chr(c): name(chr(c)) for c in range(0xC0, 0x100)})
 
-    def ids(self, word: str) -> list[int]:
-        """Ids of a run of letters, or of one behind a space."""
-        if not word.isascii() or word[0] == " ":
+    def ids(self, word: str, behind_space: bool = False) -> list[int]:
+        """Ids of a run of letters, by itself or behind a space."""
+        if not word.isascii():
             word = word.translate(self.byte_names)
-        return [token.id for token in self.model.tokenize(word)]
+        return [token.id for token in self.model.tokenize(self.space + word if behind_space else word)]

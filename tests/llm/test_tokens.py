@@ -1,4 +1,5 @@
 import os
+import re
 import zlib
 
 import numpy as np
@@ -45,6 +46,24 @@ def test_words_are_encoded_as_in_their_text(text):
     assert found.tolist() == tool.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=" \n\t\x0b\x1c\x85\xa0\u2003\u3000aé1", min_size=1, max_size=8))
+def test_lone_blanks(text):
+    words = re.split(r"\s", text)
+    assert token_files.lone_blanks(text) == all(words)
+
+
+def test_words_are_remembered_over_two_generations(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 40)
+    tool = token_files.WordEncoder(BYTE_BPE)
+    for round_ in range(6):
+        texts = [" ".join(f"word{'abcdefghij'[(i * 7 + round_) % 10]}{'xyz' * (i % 9)}, and" for i in range(30)), "and wordaxyz again"]
+        for text, ids in zip(texts, tool.encode(texts), strict=True):
+            found = np.frombuffer(ids, tool.id_type).tolist()
+            assert found == tool.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(tool.known) <= 40 + 100 and len(tool.before) <= 40 + 100
+
+
 @settings(max_examples=400, deadline=None)
 @given(ANY_TEXT)
 def test_pieces_are_those_of_the_library(text):
@@ -64,9 +83,12 @@ def test_pieces_are_those_of_the_library(text):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.one_of(st.integers(0, 300), st.integers(0, (1 << 32) - 1)), max_size=30), max_size=6))
 def test_packing_round_trip(rows):
-    packed = [token_files.pack(np.array(r, np.uint32)) for r in rows]
-    control = np.frombuffer(b"".join(c for c, _ in packed), np.uint8)
-    data = np.frombuffer(b"".join(d for _, d in packed), np.uint8)
+    counts = np.array([len(r) for r in rows], np.int64)
+    control, quads, data, ends = token_files.pack(np.array([x for r in rows for x in r], np.uint32), counts)
+    assert quads.tolist()[-1] == len(control) and ends.tolist()[-1] == len(data)
+    for i, row in enumerate(rows):  # each document's bytes can be read by themselves
+        mine = control[quads[i] : quads[i + 1]], data[ends[i] : ends[i + 1]]
+        assert token_files.unpack(*mine, counts[i : i + 1]).tolist() == row
     found = token_files.unpack(control, data, np.array([len(r) for r in rows], np.int64))
     assert found.tolist() == [x for r in rows for x in r]
 
@@ -88,6 +110,28 @@ def test_files_hold_the_ids_in_order(docs):
     assert sum(r["n_docs"] for r in manifest.collect()) == len(rows)
 
 
+def test_a_third_of_the_rows_share_an_id(docs):
+    """Rows without id and rows of one id are dealt over several files, and all are read back."""
+    rows = [(None if i % 3 == 0 else 500 if i % 3 == 1 else i, f"text {i % 7}") for i in range(900)]
+    manifest, by_rank = token_files.write(docs(*rows).repartition(5), BYTE_BPE)
+    files = manifest.collect()
+    assert max(r["n_docs"] for r in files) < 500
+    found = sorted(token_files.read(manifest, by_rank, ids=True).collect(), key=lambda r: r["start"])
+    order = lambda i: -(1 << 63) if i is None else i
+    assert [r["doc_id"] for r in found] == sorted((i for i, _ in rows), key=order)
+    assert [r["start"] for r in found] == np.cumsum([0, *(r["n_tokens"] for r in found[:-1])]).tolist()
+    tokenizer = token_files.encoder(BYTE_BPE).tokenizer
+    wanted = [(order(i), [*tokenizer.encode(t, add_special_tokens=False).ids, 0]) for i, t in rows]
+    assert sorted((order(r["doc_id"]), r["ids"]) for r in found) == sorted(wanted)
+
+
+def test_columns_with_clashing_names(clashing):
+    frame = clashing((1, "a b"), (2, None), names=("ids", "salt", "n", "file_no"))
+    manifest, by_rank = token_files.write(frame, BYTE_BPE)
+    found = token_files.read(manifest, by_rank).collect()
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in found) == [(1, 3), (2, 1)]
+
+
 def test_ranks_follow_the_counts(docs):
     frame = docs((1, "a a a a b"), (2, " b b"))
     ids = token_files.encoded(frame, BYTE_BPE, 0)
