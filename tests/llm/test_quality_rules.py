@@ -119,3 +119,26 @@ def test_held_out_accuracy_on_the_given_tables(spark):
     held = [r for r in scores if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]
     right = sum((r["score"] >= 0.3) == bool(r["quality"]) for r in held)
     assert len(held) > 50 and right / len(held) > 0.95
+
+
+def test_long_runs_take_linear_time(docs):
+    """Runs of marks, blanks, letters and one repeated word, a million of each."""
+    import time
+
+    runs = ["." * 1_000_000 + "a", "?!" * 500_000 + " x", " " * 1_000_000, "x" * 1_000_000, "ab " * 300_000, "\n" * 1_000_000]
+    frame = docs(*enumerate(runs))
+    q.with_statistics(docs((1, "a"))).collect()
+    begin = time.perf_counter()
+    rows = q.with_statistics(frame).collect()
+    assert len(rows) == len(runs) and time.perf_counter() - begin < 20
+
+
+def test_an_id_that_many_documents_have_is_one_row(spark, docs):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 != 0]
+    good, poor = "A plain sentence with several words in it. " * 8, "$$ ## @@ 11 " * 9
+    rows = [(i, good if i % 2 else poor) for i in ids] + [(ids[0], poor + str(n)) for n in range(200)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in ids], "doc_id long, quality int, toxic int")
+    model = q.fit(docs(*rows), labels)
+    again = q.fit(docs(*rows).repartition(7), labels)
+    assert model == again
+
