@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clinspark.llm.common import own_name, shuffle_partitions, small_batches
 from clinspark.session import stage
@@ -82,17 +83,23 @@ def _bit_counts(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a long) of every row; null counts as empty."""
-    small_batches(docs.sparkSession)
+def _marked(rows: DataFrame, shingle_words: int) -> DataFrame:
+    """``rows``, whose last column is ``text``, with ``fp`` (the 64 bits as a long) in its place."""
+    small_batches(rows.sparkSession)
+    names = [*rows.columns[:-1], "fp"]
 
     def run(batches):
         for batch in batches:
-            values = [fingerprint(t.as_py(), shingle_words) for t in batch.column(1)]
+            values = [fingerprint(t.as_py(), shingle_words) for t in batch.columns[-1]]
             fps = np.array(values, dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps)], names)
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:-1], T.StructField("fp", T.LongType())]))
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+
+def fingerprints(docs: DataFrame, shingle_words: int = 3) -> DataFrame:
+    """``doc_id`` and ``fp`` of every row; null counts as empty."""
+    return _marked(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), shingle_words)
 
 
 def compare(fps: np.ndarray, starts: np.ndarray, planes: list[int], radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -256,6 +263,17 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(stars.select(F.col("v"), F.col("v")).distinct())
 
 
+def _grouped(marked: DataFrame, radius: int) -> DataFrame:
+    """``fp`` and ``component_id`` of the fingerprints in ``marked`` (``doc_id``, ``fp``)."""
+    distinct = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fingerprints-distinct")
+    roots = stage(components(links(distinct.select("fp"), radius)), "roots")
+    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+        "fp", "least_id", F.coalesce("root", "fp").alias("root")
+    )
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return stage(rooted.join(least, "root").select("fp", "root", "component_id"), "fingerprint-groups")
+
+
 def near_groups(docs: DataFrame, shingle_words: int = 3, radius: int = 2) -> DataFrame:
     """``doc_id``, ``fingerprint`` and ``component_id`` (smallest id in reach) of every row of ``docs``.
 
@@ -264,24 +282,36 @@ def near_groups(docs: DataFrame, shingle_words: int = 3, radius: int = 2) -> Dat
     null component.
     """
     marked = stage(fingerprints(docs, shingle_words), "fingerprints")
-    distinct = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fingerprints-distinct")
-    roots = stage(components(links(distinct.select("fp"), radius)), "roots")
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    groups = stage(rooted.join(least, "root").select("fp", "component_id"), "fingerprint-groups")
-    return marked.join(groups, "fp").select(
+    return marked.join(_grouped(marked, radius), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def without_near_copies(docs: DataFrame, shingle_words: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` that stand for their group: those with its smallest ``doc_id``.
+    """One row of each group of ``docs``, with its columns as they were.
 
-    Rows without an id are kept: nothing can name them.
+    It is the row with the smallest ``doc_id`` (rows without one come last), and of rows that
+    share it the one with the smallest hash of all columns.
     """
-    groups = near_groups(docs.select("doc_id", "text"), shingle_words, radius)
-    name = own_name(docs, "gone")
-    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
+    one, two, times = (own_name(docs, name) for name in ("row_key", "row_key_too", "row_times"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.withColumns({one: F.xxhash64(*columns), two: F.xxhash64(F.lit(1), *columns)})
+    narrow = rows.select(
+        F.col(one).alias("one"), F.col(two).alias("two"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string")
+    )
+    marked = stage(_marked(narrow, shingle_words), "fingerprints")
+    # Rows that are alike in every column share their key.
+    known = marked.groupBy("one", "two", "doc_id", "fp").agg(F.count("*").alias("times"))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "one", "two", "times")
+    first = (
+        known.join(_grouped(marked, radius), "fp")
+        .groupBy("root")
+        .agg(F.min(place).alias("first"))
+        .select(F.col("first.one").alias(one), F.col("first.two").alias(two), F.col("first.times").alias(times))
+    )
+    first = stage(first, "near-kept")
+    kept = rows.join(first.where(F.col(times) == 1), [one, two], "left_semi")
+    several = first.where(F.col(times) > 1)
+    if not several.isEmpty():
+        kept = kept.unionByName(rows.join(several, [one, two], "left_semi").dropDuplicates([one, two]))
+    return kept.select(columns)

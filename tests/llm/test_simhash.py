@@ -125,10 +125,25 @@ def test_groups(docs):
 
 
 def test_one_document_of_a_group_stays(clashing):
-    frame = clashing(*ROWS, names=("gone", "fp", "component_id", "root"))
+    frame = clashing(*ROWS, names=("gone", "fp", "component_id", "root", "row_key", "one"))
     out = simhash.without_near_copies(frame)
     assert out.columns == frame.columns
-    assert sorted((r["doc_id"] for r in out.collect()), key=str) == sorted([3, 4, 1, 1, None, 11], key=str)
+    texts = [int(simhash.fingerprint(r["text"], 3)) for r in out.collect()]
+    for i, a in enumerate(texts):  # no two that stay are within the radius
+        assert all((a ^ b).bit_count() > 2 for b in texts[i + 1 :])
+    # All that went are within reach of one that stays.
+    near = {r["component_id"] for r in simhash.near_groups(frame).collect()}
+    assert len(texts) == len(near)
+
+
+def test_rows_that_share_an_id_or_have_none(docs):
+    """Each group keeps one row, whatever the ids: a text is not lost because another row has its id."""
+    a, b, c = ("alpha beta gamma delta " * 20, "one two three four five " * 20, "red green blue black " * 20)
+    rows = [(5, a), (5, b), (3, b), (None, c), (None, c), (9, c), (None, "lone text of no id at all"), (7, a), (7, a)]
+    rows += [(None, "same null row")] * 3
+    kept = sorted(((r["doc_id"], r["text"]) for r in simhash.without_near_copies(docs(*rows)).collect()), key=str)
+    wanted = [(3, b), (5, a), (9, c), (None, "lone text of no id at all"), (None, "same null row")]
+    assert kept == sorted(wanted, key=str)
 
 
 def test_empty_table(docs):
