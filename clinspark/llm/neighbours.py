@@ -4,8 +4,9 @@ Vantage-point trees need a metric.  With M the largest norm of all vectors, a ve
 one more component sqrt(M^2 - |x|^2) and a query q a zero there; then the squared distance
 is |q|^2 + M^2 - 2 q.x, and the nearest vectors are those with the largest inner product.
 
-Vectors are dealt to shards by a hash of their id.  A shard collapses equal vectors, builds
-its tree, and takes the queries in batches: at a node all queries of a batch are compared
+Vectors are dealt to shards by their length and a hash of their id and row: an inner product
+needs vectors of one length, so those of another length are no candidates of a query.  A shard
+collapses equal vectors, builds its tree, and takes the queries in batches: at a node all queries of a batch are compared
 with the vantage point, go to the nearer child first and then, as far as the triangle
 inequality lets them, to the other.  A child is skipped if its lower bound times ``factor``
 exceeds the distance of the worst neighbour so far: factor 1 is exact, larger ones skip more.
@@ -94,24 +95,44 @@ class VantageTree:
         return found
 
 
+MANY_OWN = 16  # points of a query's own id beyond which all points are scored for that query
+
+
+def _enough(ids: np.ndarray, k: int) -> np.ndarray:
+    """Of sorted ids those that leave ``k`` rows, whichever id is taken out: ``k`` of each of the first ``k`` + 1 ids."""
+    new = np.append(True, ids[1:] != ids[:-1])
+    starts = np.flatnonzero(new)
+    place = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids))))
+    return ids[(place < k) & (np.cumsum(new) <= k + 1)]
+
+
 class Shard:
     """The vectors of a shard; equal ones are one point of its tree."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float, most: int):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, largest: float, k: int):
         order = np.argsort(ids, kind="stable")
         ids, vectors = ids[order], np.ascontiguousarray(vectors[order])
         as_bytes = vectors.view(np.dtype((np.void, vectors.dtype.itemsize * vectors.shape[1]))).ravel()
         _, first, group = np.unique(as_bytes, return_index=True, return_inverse=True)
         by_group = np.argsort(group, kind="stable")  # ids of a group stay in order
         starts = np.searchsorted(group[by_group], np.arange(len(first) + 1))
-        self.ids = [ids[by_group[a : min(b, a + most)]] for a, b in zip(starts[:-1], starts[1:], strict=True)]
-        self.vectors = vectors[first].astype(np.float64)
+        self.ids = [_enough(ids[by_group[a:b]], k) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        pairs = np.unique(np.stack([ids, group]), axis=1)[0]  # each id once for each of its points
+        self.owners, self.points = np.unique(pairs, return_counts=True)
+        self.vectors = vectors[first]
         self.tree = VantageTree(self.vectors, largest)
 
     def answer(self, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> Iterator[tuple]:
         """Rows (query id, vector id, score): the ``k`` best of this shard for each query."""
-        found = self.tree.search(queries, min(k + 1, len(self.ids)), factor)
-        for query_id, query, points in zip(query_ids.tolist(), queries, found, strict=True):
+        at = np.minimum(np.searchsorted(self.owners, query_ids), len(self.owners) - 1)
+        own = np.where(self.owners[at] == query_ids, self.points[at], 0)
+        some = own <= MANY_OWN
+        extra = max(1, int(own[some].max(initial=1)))  # own points may be among the best
+        found = self.tree.search(queries[some], min(k + extra, len(self.ids)), factor)
+        every = np.arange(len(self.ids))
+        lists = iter(found)
+        for query_id, query, few in zip(query_ids.tolist(), queries, some.tolist(), strict=True):
+            points = next(lists) if few else every
             points = points[points >= 0]
             scores = (self.vectors[points] * query).sum(axis=1)  # alike for equal vectors, wherever they are
             ids = [self.ids[p] for p in points]
@@ -124,23 +145,18 @@ class Shard:
 
 
 def usable(embeddings: DataFrame, vector: str = "embedding") -> DataFrame:
-    """``vec_id`` and ``embedding`` of the rows that take part: one per id.
+    """``vec_id`` and ``embedding`` (doubles) of the rows that take part.
 
-    Null ids and vectors that are null, empty, all zero, or hold a null or a number that is
-    not finite, do not; nor do those whose length is not the most frequent one (ties to the
-    longer).  Of rows that repeat an id, the one with the smallest vector counts.
+    Null ids, which could not be named, and vectors that are null, empty, all zero, or hold a null or a
+    number that is not finite, do not.
     """
     x = F.col("embedding")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    rows = (
-        embeddings.select(F.col("vec_id").cast("long"), F.col(vector).cast("array<float>").alias("embedding"))
+    return (
+        embeddings.select(F.col("vec_id").cast("long"), F.col(vector).cast("array<double>").alias("embedding"))
         .where(F.col("vec_id").isNotNull() & x.isNotNull())
         .where(~bad & F.exists(x, lambda v: v != 0))
     )
-    lengths = rows.groupBy(F.size(x).alias("length")).count().orderBy(F.desc("count"), F.desc("length")).limit(1)
-    chosen = lengths.first()
-    rows = rows.where(F.size(x) == (chosen["length"] if chosen else 0))
-    return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
 def nearest(
@@ -153,11 +169,14 @@ def nearest(
 ) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of the ``k`` best of each query.
 
-    ``is_query`` is a condition on ``vec_id``.  A query's own id is no candidate.  Nearest
+    ``is_query`` is a condition on ``vec_id``.  Every row is a candidate, so an id that several rows
+    have can come several times; of such an id the smallest vector is the query.  Rows of the
+    query's own id, and vectors of another length than the query's, are no candidates.  Nearest
     first, ties to the smaller ``vec_id``; with fewer candidates, all of them.
     """
-    rows = stage(usable(embeddings), "vectors")
-    square = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))
+    salted = usable(embeddings).withColumn("salt", F.monotonically_increasing_id())
+    rows = stage(salted, "vectors")
+    square = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v * v)
     facts = rows.agg(F.count("*").alias("n"), F.max(square).alias("square")).first()
     largest = float(np.sqrt(facts["square"] or 0.0)) * (1 + 1e-12)
     shards = max(shards, -(-facts["n"] // shard_rows))
@@ -172,32 +191,36 @@ def nearest(
             at = batch.column(0).to_numpy()
             is_query = batch.column(1).to_numpy(zero_copy_only=False)
             vec_id = batch.column(2).to_numpy()
-            flat = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(len(at), -1)
+            ends = batch.column(3).offsets.to_numpy()  # rows of a shard have one length
+            numbers = batch.column(3).values.to_numpy(zero_copy_only=False)
+            part = lambda a, b: numbers[ends[a] : ends[b]].reshape(b - a, -1)  # noqa: E731, B023
             cuts = np.flatnonzero((at[1:] != at[:-1]) | (is_query[1:] != is_query[:-1])) + 1
             for a, b in zip(np.append(0, cuts).tolist(), np.append(cuts, len(at)).tolist(), strict=True):
                 if at[a] != shard:
                     shard, ids, vectors, index = at[a], [], [], None
                 if not is_query[a]:
                     ids.append(vec_id[a:b])
-                    vectors.append(flat[a:b])
+                    vectors.append(part(a, b))
                     continue
                 if not ids:
                     continue
                 if index is None:
-                    index = Shard(np.concatenate(ids), np.concatenate(vectors), largest, k + 1)
-                rows = list(index.answer(vec_id[a:b], flat[a:b].astype(np.float64), k, factor))
+                    index = Shard(np.concatenate(ids), np.concatenate(vectors), largest, k)
+                rows = list(index.answer(vec_id[a:b], part(a, b), k, factor))
                 columns = [pa.array(np.concatenate(c)) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
 
+    first = F.size("embedding").cast("long") * shards  # the first shard of vectors of that length
     stored = rows.select(
-        F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), F.lit(0).cast("byte").alias("kind"), "vec_id", "embedding"
-    )
-    asked = rows.where(is_query).select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
-        F.lit(1).cast("byte").alias("kind"),
+        (first + F.pmod(F.xxhash64("vec_id", "salt"), F.lit(shards))).alias("shard"),
+        F.lit(0).cast("byte").alias("kind"),
         "vec_id",
         "embedding",
     )
+    queries = rows.where(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    asked = queries.select(
+        F.explode(F.sequence(first, first + shards - 1)).alias("shard"), F.lit(1).cast("byte").alias("kind"), "vec_id", "embedding"
+    )
     by_shard = (
         stored.union(asked)
         .repartition(max(shards, shuffle_partitions(spark)), "shard")
