@@ -1,6 +1,7 @@
 """Mixing sources to target weights.
 
-Each document gets a hash-random key.  The documents of a source are ranged by that key;
+Each document gets a hash-random key, from its id and its text: rows that share an id, or have
+none, are spread like others.  The documents of a source are ranged by that key;
 as keys are uniform, the bounds of the ranges are known without sampling: a source of n
 rows has about n / 1000 equal key ranges (blocks).  Sums per block, then running sums over
 blocks and groups of blocks, give every block its offset, and one sort inside each block
@@ -59,14 +60,14 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_EPOCHS)
 
 def _placed(docs: DataFrame, weights: tuple, most: int, seed: str) -> DataFrame:
     """Rows of ``docs`` (column i is called ``c<i>``) with ``size``, ``source_size``, ``target`` and ``copies``."""
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), doc_id, F.lit(":"), F.md5(whole())))
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("long") / float(1 << 32)
     rows = docs.select(
         *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)],
         F.col("source").alias("source"),
         words().alias("size"),
         key.alias("key"),
-        F.xxhash64("text").alias("text_hash"),
     )
     per_source = stage(
         rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows")), "mix-sources"
@@ -111,7 +112,7 @@ def _placed(docs: DataFrame, weights: tuple, most: int, seed: str) -> DataFrame:
     )
     inside = (
         Window.partitionBy("source_no", "block")
-        .orderBy("key", "size", "text_hash")
+        .orderBy("key")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
@@ -129,8 +130,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST_EPOCHS, seed
     """The part of each row of ``docs`` (``doc_id``, ``text``, ``source``) in the mix.
 
     Returns ``doc_id``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (words,
-    copies counted).  Keys depend on seed and id only, so reruns agree; rows that repeat an id
-    (null ids too) are ordered by size and text.  A document without words has ``taken`` 0.
+    copies counted).  Keys depend on seed, id and text only, so reruns agree; rows that repeat both
+    are alike.  A document without words has ``taken`` 0.
     An empty table gives an empty mix.
     """
     id_column = f"c{docs.columns.index('doc_id')}"

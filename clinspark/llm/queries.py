@@ -78,7 +78,7 @@ def exact_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
 MIX_SQL = r"""
     sized as (
         select *, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
-               md5('mix:' || coalesce(cast(doc_id as varchar), '')) as key
+               md5('mix:' || coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))) as key
         from INPUT
     ),
     sources as (
@@ -104,7 +104,7 @@ MIX_SQL = r"""
     ),
     placed as (
         select sized.*, source_size, target, floor(target / nullif(source_size, 0)) as passes,
-               coalesce(sum(size) over (partition by sized.source order by key, size
+               coalesce(sum(size) over (partition by sized.source order by key
                                         rows between unbounded preceding and 1 preceding), 0) + size / 2 as middle
         from sized join aims on sized.source is not distinct from aims.source
     ),
