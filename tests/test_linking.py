@@ -136,3 +136,12 @@ def test_containment_of_a_person_with_very_many_spans(frame):
     outside = {v for v in whole if not any(p[1] <= v[1] and v[2] <= p[2] for p in periods)}
     got = {(r.person_id, r.visit_start_date, r.visit_end_date) for r in found.collect()}
     assert got == outside | {v for v in spans if None in v}
+
+
+def test_cells_are_not_broadcast(frame):
+    """Cells and days are many times the size of their files once a driver holds them."""
+    events = frame(CONDITIONS, (1, 1, JAN10), (2, 2, JAN10))
+    cells = visits.visit_cells(frame(VISITS, (10, 1, JAN10, D(2023, 3, 1), 1.0)))
+    found = visits.day_matches(events, cells, "condition_start_date", [0, 1, 2, 3])
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [(r.person_id, r.visit_count, r.visit_occurrence_id) for r in found.collect()] == [(1, 1, 10)]
