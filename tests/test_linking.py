@@ -145,3 +145,26 @@ def test_cells_are_not_broadcast(frame):
     found = visits.day_matches(events, cells, "condition_start_date", [0, 1, 2, 3])
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     assert [(r.person_id, r.visit_count, r.visit_occurrence_id) for r in found.collect()] == [(1, 1, 10)]
+
+
+def test_link_visits_returns_every_event(frame, monkeypatch):
+    import catalog
+
+    catalog.load()
+    from catalog import linking
+
+    k = "k string, person_id long, visit_occurrence_id long, "
+    tables = {
+        "condition_occurrence": frame(k + "condition_start_date date", ("AE:1", 1, 10, JAN10), ("AE:2", 1, 10, JAN10)),
+        "drug_exposure": frame(k + "drug_exposure_start_date date", ("EX:1", 2, None, JAN10), ("EX:2", None, None, None)),
+        "measurement": frame(k + "measurement_date date", ("LB:1", 1, 10, JAN10)),
+    }
+    monkeypatch.setattr(linking, "_linked", lambda v: tables)
+    rows = {(r.table_name, r.k, r.person_id, r.event_date, r.visit_occurrence_id) for r in linking.link_visits(None).collect()}
+    assert rows == {
+        ("condition_occurrence", "AE:1", 1, JAN10, 10),
+        ("condition_occurrence", "AE:2", 1, JAN10, 10),
+        ("drug_exposure", "EX:1", 2, JAN10, None),
+        ("drug_exposure", "EX:2", None, None, None),
+        ("measurement", "LB:1", 1, JAN10, 10),
+    }
