@@ -26,7 +26,8 @@ from clinspark.llm.common import small_batches
 
 BLANK = "▁"  # stands for a space in a normalised text
 _BLANK = BLANK.encode()
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 100_000  # of a worker; one takes about 300 bytes
+CACHED_CHARS = 8_000_000  # in all of them
 _WORD_END = re.compile(r"(?<=[^ ]) ")
 
 
@@ -147,6 +148,7 @@ class PieceEncoder:
             and not any(BLANK in p.lstrip(BLANK) for p in plain)
         )
         self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.held = 0  # characters of the known words
 
     def cut(self, text: str) -> list[str] | None:
         """The words of a text, without the space before them; None if it must stay whole."""
@@ -155,9 +157,11 @@ class PieceEncoder:
         return _WORD_END.split(text) if "  " in text else text.split(" ")
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) > CACHED_WORDS:
+        if len(self.known) > CACHED_WORDS or self.held > CACHED_CHARS:
             self.known.clear()
+            self.held = 0
         new = [w for w in words if w not in self.known]
+        self.held += sum(map(len, new))
         for at in range(0, len(new), 5000):
             some = new[at : at + 5000]
             encoded = self.library.encode(some, num_threads=1)

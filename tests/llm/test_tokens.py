@@ -202,3 +202,13 @@ def test_offsets_lead_back_to_the_source():
     normal, source = pieces.normalise(data, chars, dummy=True, trim=True, escape=True)
     assert normal.decode() == "▁a▁fix"
     assert source.tolist() == [2] * 3 + [2] + [5] * 3 + [7, 7, 10, 11]
+
+
+def test_few_words_are_remembered():
+    tool = pieces.PieceEncoder(PIECES)
+    for at in range(0, 150_000, 5000):
+        tool.learn({f"w{i}" for i in range(at, at + 5000)})
+    assert len(tool.known) <= 110_000
+    tool.learn({"x" * 9_000_000})
+    ids = [found[0].tolist() for found in tool.encode(["plain words"])]
+    assert ids == [[*tool.library.encode("plain words"), tool.end]] and tool.held < 100
