@@ -1,6 +1,6 @@
 """Licence notices, paragraph by paragraph, in DataFrame operations only.
 
-A logistic regression with an L1 penalty over hashed word n-grams tells the licence families
+A logistic regression with an L1 penalty over words and pairs of words tells the licence families
 and "no licence" apart.  It learns from the templates below, each in many damaged variants
 set into ordinary text, and from a bounded sample of paragraphs of the corpus as "none".
 A temperature, fitted on variants it has not seen, calibrates its probabilities.  A paragraph is
@@ -12,9 +12,9 @@ A paragraph is a line, or neighbouring lines over which the words of a wrapped t
 blank lines (and lines of comment marks only) end it.  Wrapped notices that are close to no
 template are scored line by line.
 
-Only paragraphs with a telling word are scored: a word of the stems below, or one of a template
-without which less than 0.8 of the template's shingles are left.  The words are fixed, whatever
-the corpus holds, so no paragraph that can be confirmed is skipped.
+Every line that has a word is scored.  Lines in which the classifier sees a licence, and those with a
+telling word (of the stems below, or one of a template without which less than 0.8 of the template's
+shingles are left), are then compared with the templates; no other line can be reported.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -64,7 +64,7 @@ TEMPLATES: list[tuple[str, str]] = [
 LETTERS = r"[\p{L}\p{Nd}]"
 NONE = "none"
 UNKNOWN = "unknown"
-FEATURES = 1 << 13
+FEATURES = 1 << 13  # words and pairs of the training rows, the frequent first; others say nothing
 SHINGLE = 5
 LEAST_SIMILARITY = 0.8
 LEAST_PROBABILITY = 0.5
@@ -86,14 +86,14 @@ def words_of(text: Column) -> Column:
 
 
 def grams_of(words: Column) -> Column:
-    """The different words and pairs of neighbours."""
+    """The words and pairs of neighbours; the features are binary, so repeats do not count."""
     pairs = F.when(
         F.size(words) > 1,
         F.zip_with(
             F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b)
         ),
     ).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(words, pairs))
+    return F.concat(words, pairs)
 
 
 def shingles_of(words: Column) -> Column:
@@ -102,14 +102,23 @@ def shingles_of(words: Column) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.concat_ws(" ", F.slice(words, i, SHINGLE))))
 
 
-def lines_of(docs: DataFrame, telling: str | None = None) -> DataFrame:
+def once(value: Column) -> Column:
+    """``value``, computed once a row: a filter or several uses of it do not repeat the work."""
+    return F.explode(F.array(value))
+
+
+def lines_of(docs: DataFrame, telling: str | None = None, chosen: DataFrame | None = None) -> DataFrame:
     """``doc_id``, ``uid``, ``line`` (from 0), ``begin``, ``end`` (characters) and ``paragraph`` of each line of each text.
 
-    With ``telling`` only lines that it finds are returned.  Offsets are running sums of lengths, so
-    a text takes time in proportion to its length, however many lines of it are returned.
+    With ``telling`` only lines that it finds are returned, with ``chosen`` (``uid``, ``line``, each once) only those.
+    Offsets are running sums of lengths, so a text takes time in proportion to its length, however many
+    lines of it are returned.
     """
     at = docs.select("doc_id", "uid", F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
     wanted = F.lit(True) if telling is None else F.col("paragraph").rlike(telling)
+    if chosen is not None:
+        at = at.join(chosen.withColumn("chosen", F.lit(True)), ["uid", "line"], "left")
+        wanted = wanted & F.col("chosen").isNotNull()
     # Lines that are not wanted are moved as lengths only.
     sized = at.withColumn("size", F.length("paragraph")).withColumn("paragraph", F.when(wanted, F.col("paragraph")))
     before = Window.partitionBy("uid").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
@@ -126,15 +135,16 @@ class LicenceModel:
     classes: list[str]
     regression: LogisticRegressionModel | None
     temperature: float
+    vocabulary: CountVectorizerModel | None = None
 
     def claims(self, paragraphs: DataFrame) -> DataFrame:
         """``paragraphs`` (with ``words``) with ``claim`` (the best family), its calibrated ``probability`` and
         ``licence_probability``, that of all families together."""
-        hashed = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
-        raw = self.regression.transform(hashed.transform(paragraphs.withColumn("grams", grams_of(F.col("words")))))
+        counted = self.vocabulary.transform(paragraphs.withColumn("grams", grams_of(F.col("words"))))
+        raw = self.regression.transform(counted)
         names = F.array(*map(F.lit, self.classes))
         return (
-            raw.withColumn("margins", vector_to_array("rawPrediction"))
+            raw.withColumn("margins", once(vector_to_array("rawPrediction")))
             .withColumn("families", F.slice("margins", 2, len(self.classes)))  # NONE is the first class
             .withColumn("best", F.array_max("families"))
             .withColumn("probability", _softmax(self.temperature))
@@ -196,8 +206,9 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAM
     half = F.pmod(F.xxhash64("paragraph"), F.lit(4)).cast("int")
     rows = variants.select("family", "copy", "words").union(ordinary.select(F.lit(NONE), half, "words"))
     rows = rows.withColumn("label", label).withColumn("grams", grams_of(F.col("words")))
-    hashed = HashingTF(inputCol="grams", outputCol="features", numFeatures=FEATURES, binary=True)
-    rows = stage(hashed.transform(rows).select("copy", "label", "features").coalesce(1), "licence-training")
+    rows = stage(rows.select("copy", "label", "grams").coalesce(1), "licence-grams")
+    vocabulary = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=2.0, vocabSize=FEATURES).fit(rows)
+    rows = stage(vocabulary.transform(rows).select("copy", "label", "features").coalesce(1), "licence-training")
     regression = LogisticRegression(regParam=0.0005, elasticNetParam=1.0, maxIter=60, family="multinomial")
     fitted = regression.fit(rows.where("copy % 4 <> 3"))
 
@@ -206,7 +217,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_lines: int = SAM
     right = F.col("margins")[F.col("label").cast("int")]
     losses = unseen.agg(*[F.avg(-F.log(_softmax(t, right) + 1e-12)).alias(str(i)) for i, t in enumerate(grid)]).first()
     temperature = min(zip(losses, grid, strict=True))[1] if losses[0] is not None else 1.0
-    return LicenceModel(classes, fitted, temperature)
+    return LicenceModel(classes, fitted, temperature, vocabulary)
 
 
 def _shingles(text: str) -> list[str]:
@@ -286,14 +297,29 @@ def wrapped(docs: DataFrame) -> DataFrame:
     return found.withColumn("reach", reach).where("last_line > reach").drop("reach")
 
 
-def paragraphs_of(docs: DataFrame, telling: str) -> DataFrame:
-    """``doc_id``, ``line``, ``last_line``, ``begin``, ``end``, ``paragraph`` of the lines with a telling word and of wrapped
+def likely(docs: DataFrame, model: LicenceModel, telling: str) -> DataFrame:
+    """``uid`` and ``line`` of the lines in which ``model`` sees a licence or that have a telling word.
+
+    All lines of all texts are scored where they are read; blank ones (and comment marks only) are no paragraphs.
+    """
+    lines = docs.select("uid", F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
+    words = words_of(F.regexp_replace("paragraph", MARKS, " "))
+    lines = lines.select("uid", "line", "paragraph", once(words).alias("words")).where(F.size("words") > 0)
+    sees = F.col("licence_probability") >= LEAST_PROBABILITY
+    return model.claims(lines).where(sees | F.col("paragraph").rlike(telling)).select("uid", "line")
+
+
+def paragraphs_of(docs: DataFrame, model: LicenceModel, telling: str) -> DataFrame:
+    """``doc_id``, ``line``, ``last_line``, ``begin``, ``end``, ``paragraph`` of the ``likely`` lines and of wrapped
     notices; ``covered`` tells whether a line is a part of one."""
-    docs = docs.where(F.col("text").rlike(telling)).withColumn("uid", F.monotonically_increasing_id())
-    docs = stage(docs, "licence-texts")  # the numbers are fixed once
-    spans = wrapped(docs).groupBy("uid").agg(F.collect_list(F.struct("line", "last_line")).alias("spans"))
+    docs = stage(docs.withColumn("uid", F.monotonically_increasing_id()), "licence-texts")  # the numbers are fixed once
+    chosen = stage(likely(docs, model, telling), "licence-lines")
+    docs = docs.join(chosen.select("uid").distinct(), "uid", "left_semi")
+    # A wrapped notice is close to a template, so it has a telling word.
+    spans = wrapped(docs.where(F.col("text").rlike(telling)))
+    spans = spans.groupBy("uid").agg(F.collect_list(F.struct("line", "last_line")).alias("spans"))
     spans = stage(spans, "licence-spans")
-    single = lines_of(docs, telling)
+    single = lines_of(docs, chosen=chosen)
     inside = F.exists("spans", lambda s: F.col("line").between(s["line"], s["last_line"]))
     single = single.join(spans, "uid", "left").select(
         "doc_id", "line", F.col("line").alias("last_line"), "begin", "end", "paragraph", F.coalesce(inside, F.lit(False)).alias("covered")
@@ -321,7 +347,7 @@ def scan(docs: DataFrame, model: LicenceModel) -> DataFrame:
     telling = telling_words()
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # Staged, as are the scores, so that no plan holds the templates more than once.
-    found = stage(paragraphs_of(docs, telling), "licence-paragraphs")
+    found = stage(paragraphs_of(docs, model, telling), "licence-paragraphs")
     found = found.withColumn("words", words_of(F.regexp_replace("paragraph", MARKS, " ")))
     mine = lambda s: F.struct(
         s["similarity"].alias("similarity"), (s["family"] == F.col("claim")).alias("mine"), s["size"].alias("size"), s["family"].alias("family")

@@ -142,3 +142,24 @@ def test_a_text_of_very_many_telling_lines(docs):
         starts, at = starts + at, at + len(line) + 1
     assert (row["n"], row["end"], row["begins"]) == (100_000, at - 1, starts)
     assert time.perf_counter() - begin < 30
+
+
+class Everywhere(licenses.LicenceModel):
+    """Sees a licence in each line."""
+
+    def claims(self, paragraphs):
+        spread = {"claim": "MIT", "probability": 0.6, "licence_probability": 0.9}
+        return paragraphs.withColumns({k: F.lit(v) for k, v in spread.items()})
+
+
+def test_lines_without_a_telling_word_are_scored_too(docs, model):
+    seen = Everywhere(model.classes, model.regression, model.temperature)
+    frame = docs((1, "Free for all\n\n * \nto use and to share"), (2, ""), (3, None), (4, "plain words"))
+    found = licenses.scan(frame, seen).collect()
+    lines = {(r["doc_id"], r["line"], r["begin"], r["end"], r["family"]) for r in found}
+    assert lines == {(1, 0, 0, 12, "unknown"), (1, 3, 18, 37, "unknown"), (4, 0, 0, 11, "unknown")}
+
+
+def test_unseen_words_say_nothing(docs, model):
+    rows = [(i, " ".join(f"{a}{b}{i}" for a in ("erne", "thon", "gezu", "cion") for b in range(150))) for i in range(40)]
+    assert licenses.scan(docs(*rows), model).collect() == []
