@@ -52,3 +52,12 @@ def test_all_doses_come_from_one_stored_table(spark, folder):
     v = Views(spark, folder)
     files = {tuple(getattr(v, name).inputFiles()) for name in ("dosing", "lb", "vs", "eg", "ex", "cm")}
     assert len(files) == 1
+
+
+def test_lines_of_an_order_are_stored_side_by_side(spark, folder):
+    """The widest rows are joined last, and stages are packed more tightly than tables that last."""
+    v = Views(spark, folder)
+    plan = v.sql(views.BUILT["doses"])._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "l_orderkey" in joins[0] and "l_partkey" not in joins[0]
+    assert all(".zstd." in name for name in v.doses.inputFiles())
