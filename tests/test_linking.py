@@ -168,3 +168,27 @@ def test_link_visits_returns_every_event(frame, monkeypatch):
         ("drug_exposure", "EX:2", None, None, None),
         ("measurement", "LB:1", 1, JAN10, 10),
     }
+
+
+def test_days_are_not_multiplied_by_levels(frame):
+    """Days and cells are put in order once: no row is made per day and level, and nothing is joined."""
+    rows = [(i, 1, D(2000, 1, 1) + dt.timedelta(days=3 * i), D(2000, 1, 1) + dt.timedelta(days=40 * i), 1.0) for i in range(50)]
+    cells = visits.visit_cells(frame(VISITS, *rows, (99, None, JAN10, JAN10, 1.0)))
+    levels = visits.levels_of(cells)
+    events = [(i, 1, D(1999, 12, 1) + dt.timedelta(days=i // 2)) for i in range(400)] + [(900, None, JAN10), (901, 1, None)]
+    found = visits.day_matches(frame(CONDITIONS, *events), cells, "condition_start_date", levels)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Window ") == 1
+    wanted = {}
+    for day in {e[2] for e in events if e[1] and e[2]}:
+        covering = [r[0] for r in rows if r[2] <= day <= r[3]]
+        if covering:
+            wanted[1, (day - D(1970, 1, 1)).days] = (len(covering), min(covering))
+    got = {(r.person_id, r.day): (r.visit_count, r.visit_occurrence_id) for r in found.collect()}
+    assert got == wanted and len(wanted) > 150
+    both = {"condition_occurrence": frame(CONDITIONS, *events), "drug_exposure": frame(DRUGS, (1, 1, D(2000, 1, 5)))}
+    rows = visits.day_matches_of(both, cells, levels).collect()
+    assert {(r.person_id, r.day): r.visit_count for r in rows if r.table_name == "condition_occurrence"} == {
+        key: n for key, (n, _) in wanted.items()
+    }
+    assert [tuple(r)[:2] for r in rows if r.table_name == "drug_exposure"] == [("drug_exposure", 1)]
