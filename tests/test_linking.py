@@ -192,3 +192,32 @@ def test_days_are_not_multiplied_by_levels(frame):
         key: n for key, (n, _) in wanted.items()
     }
     assert [tuple(r)[:2] for r in rows if r.table_name == "drug_exposure"] == [("drug_exposure", 1)]
+
+
+def test_ambiguous_events_are_worked_out_once(spark, frame, monkeypatch):
+    """Days and keys are both read from the written events."""
+    import types
+
+    import catalog
+
+    catalog.load()
+    from catalog import linking
+    from clinspark.functions import text
+
+    person = spark.range(1).select(text.person_id(F.lit("P1"))).first()[0]
+    tables = {
+        "condition_occurrence": frame("k string, person_id long, condition_start_date date", ("AE:1", person, JAN10)),
+        "drug_exposure": frame("k string, person_id long, drug_exposure_start_date date", ("EX:1", person, D(2023, 1, 8))),
+        "measurement": frame(
+            "k string, person_id long, measurement_date date, source_visit_num double",
+            ("LB:1", person, JAN10, None), ("LB:2", person, JAN10, 1.0), ("LB:3", None, JAN10, None),
+        ),
+    }
+    monkeypatch.setattr(linking, "_events", lambda v: tables)
+    visit = "USUBJID string, VISITNUM double, VISIT string, SVSTDTC string, SVENDTC string"
+    sv = frame(visit, ("P1", 1.0, "a", "2023-01-08", "2023-01-10"), ("P1", 2.0, "b", "2023-01-09", "2023-01-11"))
+    found = linking.link_ambiguous(types.SimpleNamespace(sv=sv))
+    rows = {(r.table_name, r.k, r.person_id, r.event_date, r.visit_count) for r in found.collect()}
+    assert rows == {("condition_occurrence", "AE:1", person, JAN10, 2), ("measurement", "LB:1", person, JAN10, 2)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and plan.count("Relation ") + plan.count("Relation[") >= 4
