@@ -4,7 +4,7 @@ import re
 
 import pytest
 from clinspark.functions import codes, text
-from clinspark.operators import mapping
+from clinspark.operators import mapping, rules
 from pyspark.sql import functions as F
 
 
@@ -54,3 +54,34 @@ def test_a_sort_never_compares_by_the_whole_key_expression(spark, frame):
     assert sorted(map(tuple, done.collect())) == [(1, 7, "A  b"), (2, 0, "c")]
     sorts = [line for line in plan_of(done).splitlines() if re.search(r"\bSort \[", line)]
     assert sorts and not any("regexp_replace" in line for line in sorts)
+
+
+def test_rule_keys_are_worked_out_per_term(spark, frame):
+    """Rows are joined by their raw term, and give what the key of every row gives."""
+    events = frame(
+        "drug_exposure_id long, drug_concept_id long, drug_source_value string",
+        (1, 0, "A  b"), (2, 0, "c"), (3, 5, "A  b"), (4, None, "a B"), (5, 0, None), (6, 0, "A  b"),
+    )
+    approvals = frame(
+        "target_table string, normalized_value string, concept_id long, source_decision_id long, approved_by string, "
+        "score double, model_name string, vocabulary_version string, problem string",
+        ("drug_exposure", "a b", 7, 1, "Ann", 1.0, "m", "v", None),
+        ("drug_exposure", "c", 8, 2, "Ann", 1.0, "m", "v", "is not standard any more"),
+    )
+    target = mapping.TARGETS["drug_exposure"]
+    of_terms = mapping.approvals_of_terms(events, target, approvals)
+    done = mapping.apply_approvals(events, target, approvals, of_terms)
+    audit = mapping.provenance_of_approvals(events, target, approvals, "R", of_terms)
+    assert "regexp_replace" not in plan_of(done) + plan_of(audit)
+    per_row = mapping.apply_approvals(events, target, approvals)
+    assert sorted(map(str, done.collect())) == sorted(map(str, per_row.collect()))
+    assert {r.drug_exposure_id: r.drug_concept_id for r in done.collect()} == {1: 7, 2: 0, 3: 5, 4: 7, 5: 0, 6: 7}
+    assert sorted(r.target_id for r in audit.collect()) == [1, 4, 6]
+
+
+def test_new_rows_reads_its_candidates_once(spark, frame):
+    rows = frame("a long, b string, c string", (1, "x", "m"), (1, "x", "l"), (None, "x", "m"), (None, "x", "m"), (2, "y", "m"))
+    fresh = rules.new_rows(rows, frame("a long, b string", (2, "y"), (None, "x")), ["a", "b"])
+    assert "Union" not in fresh._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted(map(str, ((r.a, r.b, r.c) for r in fresh.collect())))
+    assert got == sorted(map(str, [(1, "x", "l"), (None, "x", "m"), (None, "x", "m")]))
